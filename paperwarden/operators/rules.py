@@ -136,5 +136,7 @@ def run_rules(docs: DataFrame, reference_date: datetime.date,
 
 def explode_flags(flagged: DataFrame, key: str = "doc_id") -> DataFrame:
     """Long form: one row per document and flag, numbered from 0 in emission order."""
-    return flagged.select(key, F.posexplode("flags").alias("flag_no", "flag")).select(
+    # The outer form keeps the optimiser from testing size(flags), all rules once more, before the explode.
+    rows = flagged.select(key, F.posexplode_outer("flags").alias("flag_no", "flag")).where("flag_no is not null")
+    return rows.select(
         key, "flag_no", "flag.category", "flag.severity", "flag.message", "flag.evidence")

@@ -18,7 +18,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import kernels
 from ..functions.fixed_values import VENDOR_SIMILARITY_HIGH, VENDOR_SIMILARITY_LOW
@@ -41,7 +41,7 @@ def gram_index(known: DataFrame, low: float = VENDOR_SIMILARITY_LOW) -> DataFram
     """(gram, known_vendor, known_lower): the rarest grams of every known vendor."""
     names = (known.select(F.col("vendor_name").alias("known_vendor"), F.lower("vendor_name").alias("known_lower"))
              .where(F.length("known_lower") > 0))
-    grams = names.select("*", F.explode(_grams(F.col("known_lower"))).alias("gram"))
+    grams = names.select("*", F.explode_outer(_grams(F.col("known_lower"))).alias("gram"))
     frequency = grams.groupBy("gram").agg(F.count("*").alias("frequency"))
     length = F.length("known_lower")
     shortest_total = length + F.ceil(length * (low / (2.0 - low)) - _ROUNDING)
@@ -50,13 +50,13 @@ def gram_index(known: DataFrame, low: float = VENDOR_SIMILARITY_LOW) -> DataFram
               .groupBy("known_vendor", "known_lower")
               .agg(F.array_sort(F.collect_list(F.struct("frequency", "gram"))).alias("grams")))
     return ranked.select(
-        F.explode(F.array_distinct(F.slice("grams", 1, F.greatest(keep, F.lit(1)).cast("int"))["gram"])).alias("gram"),
+        F.explode_outer(F.array_distinct(F.slice("grams", 1, F.greatest(keep, F.lit(1)).cast("int"))["gram"])).alias("gram"),
         "known_vendor", "known_lower")
 
 
 def _candidates(names: DataFrame, index: DataFrame, small: bool, low: float) -> DataFrame:
     """(vendor_name, lower_name, known_vendor, known_lower, bound): pairs within the bounds, maybe repeated."""
-    grams = names.select("*", F.explode(F.array_distinct(_grams(F.col("lower_name")))).alias("gram"))
+    grams = names.select("*", F.explode_outer(F.array_distinct(_grams(F.col("lower_name")))).alias("gram"))
     if small:
         pairs = grams.join(F.broadcast(index), "gram")
     else:  # a frequent gram is split over SALTS tasks
@@ -70,7 +70,7 @@ def _candidates(names: DataFrame, index: DataFrame, small: bool, low: float) ->
     return pairs.where(F.col("bound") >= low - _ROUNDING).drop("gram")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _ratio(names: pd.Series, known: pd.Series) -> pd.Series:
     return pd.Series([kernels.matching_ratio(a, b) for a, b in zip(names, known)], dtype="float64")
 
