@@ -47,17 +47,28 @@ def _near_duplicates(spark: SparkSession, sf_dir: str) -> neardup.NearDuplicates
     return neardup.find_near_duplicates(_documents(spark, sf_dir), text_col="text")
 
 
+@functools.lru_cache(maxsize=4)
+def _all_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every invoice as a document, written once so that queries start from a table of texts."""
+    return materialise(tables.all_documents(spark, sf_dir))
+
+
+@functools.lru_cache(maxsize=4)
+def _new_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise(tables.new_documents(spark, sf_dir))
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def _fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.extract_fields(tables.all_documents(spark, sf_dir))
+    return extract.extract_fields(_all_invoices(spark, sf_dir))
 
 
 def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arriving invoices after extraction, lookups and all rules."""
-    fields = pipeline.extract_batch(tables.new_documents(spark, sf_dir))
+    fields = pipeline.extract_batch(_new_invoices(spark, sf_dir))
     return pipeline.check_documents(fields, _baseline(spark, sf_dir), tables.REFERENCE_DATE)
 
 
@@ -69,13 +80,13 @@ def _with_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extract_fields(spark, sf_dir):
-    return extract.extract_raw(tables.all_documents(spark, sf_dir)).select(
+    return extract.extract_raw(_all_invoices(spark, sf_dir)).select(
         "doc_id", "vendor_name", "invoice_number_raw", "po_number_raw", "payment_terms_raw", "invoice_date_raw",
         "due_date_raw", "subtotal_raw", "tax_raw", "total_amount_raw")
 
 
 def extract_phrases(spark, sf_dir):
-    return extract.phrase_flags(tables.all_documents(spark, sf_dir)).select("doc_id", *extract.PHRASE_FLAGS)
+    return extract.phrase_flags(_all_invoices(spark, sf_dir)).select("doc_id", *extract.PHRASE_FLAGS)
 
 
 def clean_dates(spark, sf_dir):
@@ -125,7 +136,7 @@ def known_keys(spark, sf_dir):
 
 
 def doc_features(spark, sf_dir):
-    fields = extract.extract_fields(tables.new_documents(spark, sf_dir)).drop("raw_text")
+    fields = extract.extract_fields(_new_invoices(spark, sf_dir)).drop("raw_text")
     found = features.add_features(fields, _baseline(spark, sf_dir))
     return found.select("doc_id", *[F.round(f"features.{n}", ROUNDED).alias(n) for n in FEATURE_NAMES])
 
@@ -168,7 +179,7 @@ def _rule_on_arrivals(category: str) -> Callable[[SparkSession, str], DataFrame]
 
 
 def vendor_lookalikes(spark, sf_dir):
-    names = extract.extract_raw(tables.new_documents(spark, sf_dir)).select("vendor_name")
+    names = extract.extract_raw(_new_invoices(spark, sf_dir)).select("vendor_name")
     return vendors.lookalike_vendors(names, _baseline(spark, sf_dir).vendors).select(
         "vendor_name", "closest_vendor", F.round("vendor_similarity", ROUNDED).alias("vendor_similarity"))
 
@@ -221,14 +232,14 @@ def near_dup_reasons(spark, sf_dir):
 
 def forest_scores(spark, sf_dir):
     checked = features.add_features(
-        extract.extract_fields(tables.new_documents(spark, sf_dir)).drop("raw_text"), _baseline(spark, sf_dir))
+        extract.extract_fields(_new_invoices(spark, sf_dir)).drop("raw_text"), _baseline(spark, sf_dir))
     return _model(spark, sf_dir).forest.score(checked).select(
         "doc_id", F.round("score", ROUNDED).alias("score"), F.round("percentile", ROUNDED).alias("percentile"))
 
 
 def attributions(spark, sf_dir):
     checked = features.add_features(
-        extract.extract_fields(tables.new_documents(spark, sf_dir)).drop("raw_text"), _baseline(spark, sf_dir))
+        extract.extract_fields(_new_invoices(spark, sf_dir)).drop("raw_text"), _baseline(spark, sf_dir))
     return _model(spark, sf_dir).forest.score(checked).select(
         "doc_id", F.posexplode_outer("top_features").alias("place", "f")).select(
         "doc_id", "place", "f.feature", F.round("f.value", ROUNDED).alias("value"),
@@ -242,7 +253,7 @@ def _total_percentiles(spark, sf_dir, scored: DataFrame) -> DataFrame:
 
 def score_percentiles(spark, sf_dir):
     """Percentiles of a fixed score: the printed total against all past totals."""
-    arriving = extract.extract_fields(tables.new_documents(spark, sf_dir)).select(
+    arriving = extract.extract_fields(_new_invoices(spark, sf_dir)).select(
         "doc_id", F.col("total_amount").alias("score"))
     return _total_percentiles(spark, sf_dir, arriving).withColumn("percentile", F.round("percentile", ROUNDED))
 
@@ -292,13 +303,13 @@ def summary_lines(spark, sf_dir):
 
 
 def detection_table(spark, sf_dir):
-    labels = tables.new_documents(spark, sf_dir).select(
+    labels = _new_invoices(spark, sf_dir).select(
         F.col("doc_id").alias("filename"), F.col("kind").alias("ground_truth_note"))
     return reasons.detection_table(reasons.report(_with_reasons(spark, sf_dir), ml=False), labels)
 
 
 def full_report(spark, sf_dir):
-    return _model(spark, sf_dir).score(tables.new_documents(spark, sf_dir), tables.REFERENCE_DATE)
+    return _model(spark, sf_dir).score(_new_invoices(spark, sf_dir), tables.REFERENCE_DATE)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

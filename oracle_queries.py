@@ -290,8 +290,8 @@ both_ways AS (SELECT a AS doc_id, b AS partner, similarity FROM pairs
 
 # The factored form: bags (same token sequence), shared terms (in more than one bag), cores.
 CORES = TERMS + """,
-bag_of AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY array_to_string(words, ' ')) AS copy_of
-           FROM words),
+bag_of AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN doc_id
+             ELSE min(doc_id) OVER (PARTITION BY array_to_string(words, ' ')) END AS copy_of FROM words),
 shared AS (SELECT term FROM tf JOIN bag_of USING (doc_id) GROUP BY term HAVING count(DISTINCT copy_of) > 1),
 core_of AS (
   SELECT doc_id, sqrt(coalesce(sum(weight * weight) FILTER (shared.term IS NOT NULL), 0)) AS rho,
@@ -303,7 +303,6 @@ placed AS (
 grouped AS (
   SELECT doc_id, copy_of, rho, signature,
     CASE WHEN signature IS NOT NULL THEN min(doc_id) OVER (PARTITION BY signature)
-         WHEN rho = 0 AND NOT EXISTS (SELECT 1 FROM tf WHERE tf.doc_id = placed.doc_id) THEN doc_id
          ELSE copy_of END AS group_id
   FROM placed)"""
 
