@@ -220,9 +220,7 @@ def near_dup_links(spark, sf_dir):
 
 
 def near_dup_reasons(spark, sf_dir):
-    found = _near_duplicates(spark, sf_dir)
-    counts = neardup.partner_summary(found).select("doc_id", "n_partners")
-    return reasons.near_dup_reasons(found).join(counts, "doc_id").select(
+    return reasons.near_dup_reasons(_near_duplicates(spark, sf_dir)).select(
         "doc_id", "n_partners", F.posexplode_outer("near_dup_reasons").alias("reason_no", "reason")).select(
         "doc_id", "n_partners", "reason_no", "reason.message")
 

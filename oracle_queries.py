@@ -385,6 +385,16 @@ def oracle_sql() -> dict[str, str]:
         "near_duplicates": f"""WITH {PAIRS} SELECT doc_id, count(*) AS n_partners,
             round(max(similarity), 6) AS best_similarity FROM both_ways GROUP BY doc_id""",
         "near_dup_groups": f"WITH {CORES} SELECT doc_id, copy_of, group_id, round(rho, 6) AS rho FROM grouped",
+        "near_dup_links": f"""WITH {CORES}, heads AS (
+              SELECT group_id, max(rho) AS best_rho, count(*) AS docs, any_value(rho) FILTER (doc_id = group_id) AS rho
+              FROM grouped WHERE signature IS NOT NULL GROUP BY group_id),
+            unit AS (SELECT group_id, term, weight / rho AS weight, best_rho, docs
+              FROM heads JOIN weights ON doc_id = group_id)
+            SELECT a.group_id AS group_a, b.group_id AS group_b, round(sum(a.weight * b.weight), 6) AS similarity,
+              any_value(a.docs) AS docs_a, any_value(b.docs) AS docs_b
+            FROM unit a JOIN unit b ON a.term = b.term AND a.group_id < b.group_id
+            GROUP BY a.group_id, b.group_id
+            HAVING sum(a.weight * b.weight) * any_value(a.best_rho) * any_value(b.best_rho) >= 0.92""",
         "near_dup_reasons": f"""WITH {PAIRS}, counted AS (
               SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM both_ways)
             SELECT doc_id, n AS n_partners, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY partner) - 1 AS INT)

@@ -11,11 +11,23 @@ from pyspark.sql import Column, functions as F
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 LINE_BREAKS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85  "
 
-_ALL = [chr(i) for i in range(0x110000)]
-_FOREIGN_DIGITS = [c for c in _ALL[0x80:] if unicodedata.category(c) == "Nd"]
-_OTHER_DIGITS = "".join(c for c in _ALL if c.isdigit() and unicodedata.category(c) != "Nd")
-DIGIT_CLASS = rf"[\p{{Nd}}{_OTHER_DIGITS}]"
-del _ALL
+_DIGITS = [c for c in map(chr, range(0x80, 0x110000)) if c.isdigit()]
+_FOREIGN_DIGITS = [c for c in _DIGITS if unicodedata.category(c) == "Nd"]
+
+
+def _ranges(characters: list[str]) -> str:
+    """The characters as ranges of a regular expression class."""
+    out = []
+    for c in characters:
+        if out and ord(c) == ord(out[-1][1]) + 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(a if a == b else f"{a}-{b}" for a, b in out)
+
+
+# Digits that are not decimal digits: superscripts, circled digits and the like.
+_OTHER_DIGITS = _ranges([c for c in _DIGITS if unicodedata.category(c) != "Nd"])
 
 # i: any case, d: only \n ends a line, U: Unicode-aware \s \d \b.
 REGEX_FLAGS = "(?idU)"
@@ -51,7 +63,9 @@ def clean_money(raw: Column) -> Column:
 
 
 def digit_count(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(DIGIT_CLASS))
+    """Number of digits of any script; plain ASCII text takes the quick way."""
+    every = F.regexp_count(text, F.lit(r"\p{Nd}")) + F.regexp_count(text, F.lit(f"[{_OTHER_DIGITS}]"))
+    return F.when(F.octet_length(text) == F.length(text), F.regexp_count(text, F.lit("[0-9]"))).otherwise(every)
 
 
 def number_text(c: Column) -> Column:

@@ -3,23 +3,35 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``, else that of the context.
+
+    Only where neither is set, as in a local test, a temporary folder of this machine is used.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        named = tempfile.mkdtemp(prefix="paperwarden-")
+        context.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder and go on from the written files.
+    """Write ``df`` once as a table in the shared folder and go on from its files.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where
-    nothing is set (a local test) a temporary one is used.
+    Lost executors then cost no more than the running step, later readers take only the
+    columns they need, and joins know the real size.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="paperwarden-"))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/paperwarden-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def size_in_bytes(df: DataFrame) -> int:

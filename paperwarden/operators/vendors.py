@@ -99,7 +99,7 @@ def closest_vendors(names: DataFrame, known: DataFrame, low: float = VENDOR_SIMI
     # The pair with the best upper bound first; its true ratio rules out most other pairs.
     first = pairs.groupBy("vendor_name", "lower_name").agg(
         F.max(F.struct("bound", "known_vendor", "known_lower")).alias("best"))
-    first = materialise(first.select("vendor_name", _ratio("lower_name", "best.known_lower").alias("reached")))
+    first = first.select("vendor_name", _ratio("lower_name", "best.known_lower").alias("reached"))
     rest = (pairs.join(first, "vendor_name")
             .where(F.col("bound") >= F.col("reached") - _ROUNDING)
             .select("vendor_name", "lower_name", "known_vendor", "known_lower").distinct())
