@@ -59,7 +59,8 @@ def _new_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The text table; the test files hold one row group, so it is spread over the cores."""
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(spark.sparkContext.defaultParallelism)
 
 
 def _fields(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,7 +55,7 @@ def gram_index(known: DataFrame, low: float = VENDOR_SIMILARITY_LOW) -> DataFram
 
 
 def _candidates(names: DataFrame, index: DataFrame, small: bool, low: float) -> DataFrame:
-    """(vendor_name, lower_name, known_vendor, known_lower, bound): pairs within the bounds, maybe repeated."""
+    """(vendor_name, lower_name, known_vendor, known_lower, bound): each pair within the bounds once."""
     grams = names.select("*", F.explode_outer(F.array_distinct(_grams(F.col("lower_name")))).alias("gram"))
     if small:
         pairs = grams.join(F.broadcast(index), "gram")
@@ -66,8 +66,8 @@ def _candidates(names: DataFrame, index: DataFrame, small: bool, low: float) ->
     la, lb = F.length("lower_name"), F.length("known_lower")
     total = la + lb
     pairs = pairs.where(2 * F.least(la, lb) >= low * total - _ROUNDING)
-    pairs = pairs.withColumn("bound", 1.0 - F.levenshtein("lower_name", "known_lower") / total)
-    return pairs.where(F.col("bound") >= low - _ROUNDING).drop("gram")
+    pairs = pairs.select("vendor_name", "lower_name", "known_vendor", "known_lower").distinct()
+    return pairs.withColumn("bound", 1.0 - F.levenshtein("lower_name", "known_lower") / total)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -91,10 +91,11 @@ def closest_vendors(names: DataFrame, known: DataFrame, low: float = VENDOR_SIMI
                .join(known, "vendor_name", "left_anti")
                .select("vendor_name", F.lower("vendor_name").alias("lower_name"))
                .where(F.length("lower_name").between(shortest, longest)))
-    unknown = materialise(unknown)
+    # Few names may still mean many pairs, so they are spread over all cores.
+    unknown = materialise(unknown.repartition(unknown.sparkSession.sparkContext.defaultParallelism))
     index = materialise(gram_index(known, low))
     small = broadcast_if_small(index) is not index
-    pairs = _candidates(unknown, index, small, low)
+    pairs = materialise(_candidates(unknown, index, small, low)).where(F.col("bound") >= low - _ROUNDING)
 
     # The pair with the best upper bound first; its true ratio rules out most other pairs.
     first = pairs.groupBy("vendor_name", "lower_name").agg(
@@ -102,7 +103,7 @@ def closest_vendors(names: DataFrame, known: DataFrame, low: float = VENDOR_SIMI
     first = first.select("vendor_name", _ratio("lower_name", "best.known_lower").alias("reached"))
     rest = (pairs.join(first, "vendor_name")
             .where(F.col("bound") >= F.col("reached") - _ROUNDING)
-            .select("vendor_name", "lower_name", "known_vendor", "known_lower").distinct())
+            .select("vendor_name", "lower_name", "known_vendor", "known_lower"))
     scored = rest.select("vendor_name", "known_vendor", _ratio("lower_name", "known_lower").alias("ratio"))
     best = scored.groupBy("vendor_name").agg(
         F.min(F.struct((-F.col("ratio")).alias("ratio"), "known_vendor")).alias("best"))
