@@ -33,10 +33,11 @@ NAMED_SHAPES = [
 
 
 def tidy_date(raw: Column) -> Column:
-    """Lower case, no ordinal endings, no words but month names, single spaces."""
+    """Lower case, no ordinal endings, no words but month names, single spaces; values without letters as found."""
     plain = F.regexp_replace(F.lower(raw), _ORDINAL, "$1")
     plain = F.regexp_replace(plain, _OTHER_WORD, " ")
-    return blank_to_null(strip(F.regexp_replace(plain, r"(?U)[\s,]+", " ")))
+    words = blank_to_null(strip(F.regexp_replace(plain, r"(?U)[\s,]+", " ")))
+    return F.when(raw.rlike("[A-Za-z]"), words).otherwise(raw)
 
 
 def read_date(tidy: Column) -> Column:
