@@ -93,17 +93,20 @@ class ForestArrays:
         return np.power(2.0, -total / (self.trees * self.normaliser))
 
     def contributions(self, rows: np.ndarray, medians: np.ndarray, batch: int = 1024):
-        """(scores, drop of the score when one feature is set to its median), batch by batch."""
+        """(scores, drop of the score when one feature is set to its median), batch by batch.
+
+        Only features that some tree cuts on, and values that differ from the median, need a new score.
+        """
         scores = np.empty(len(rows))
         drops = np.zeros(rows.shape)
-        used = np.unique(self.feature[~np.isinf(self.threshold)])
+        used = np.zeros(rows.shape[1], dtype=bool)
+        used[np.unique(self.feature[~np.isinf(self.threshold)])] = True
         for start in range(0, len(rows), batch):
             part = rows[start:start + batch]
-            variants = np.repeat(part[None, :, :], len(used) + 1, axis=0)
-            for v, f in enumerate(used):
-                variants[v + 1, :, f] = medians[f]
-            result = self.score(variants.reshape(-1, rows.shape[1])).reshape(len(used) + 1, len(part))
-            scores[start:start + batch] = result[0]
-            for v, f in enumerate(used):
-                drops[start:start + batch, f] = result[0] - result[v + 1]
+            row, feature = np.nonzero((part != medians) & used)
+            changed = part[row]
+            changed[np.arange(len(row)), feature] = medians[feature]
+            result = self.score(np.concatenate([part, changed]))
+            scores[start:start + batch] = result[:len(part)]
+            drops[start + row, feature] = result[row] - result[len(part):]
         return scores, drops
