@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import datetime
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import fixed_values as fv
 from ..operators.baseline import Baseline, fit_baseline
 from ..operators.extract import extract_fields
 from ..operators.features import add_features, history_features
 from ..operators.forest import ForestModel, fit_forest
-from ..operators.neardup import find_near_duplicates
+from ..operators.neardup import NearDuplicates, find_near_duplicates
 from ..operators.reasons import add_reasons, near_dup_reasons, report
 from ..operators.rules import mark_known_numbers, run_rules
 from ..operators.scale import materialise
@@ -22,16 +23,19 @@ from ..operators.vendors import attach_closest_vendor
 
 def check_documents(fields: DataFrame, baseline: Baseline, reference_date: datetime.date,
                     zscore_threshold: float = fv.ZSCORE_THRESHOLD) -> DataFrame:
-    """Features, lookups and rule flags for extracted documents (text no longer needed)."""
-    checked = add_features(fields, baseline)
+    """Features, lookups and rule flags for extracted documents (text no longer needed).
+
+    ``fields`` is read more than once, so it should be a table, as ``extract_batch`` gives it.
+    """
+    checked = attach_closest_vendor(fields, baseline.vendors)
+    checked = add_features(checked, baseline)
     checked = mark_known_numbers(checked, baseline)
-    checked = attach_closest_vendor(checked, baseline.vendors)
     return run_rules(checked, reference_date, zscore_threshold)
 
 
-def extract_batch(docs: DataFrame) -> DataFrame:
+def extract_batch(docs: DataFrame, extractor: Callable[[DataFrame], DataFrame] = extract_fields) -> DataFrame:
     """Fields of a batch without the text, written once: several later steps read them."""
-    return materialise(extract_fields(docs).drop("raw_text"))
+    return materialise(extractor(docs).drop("raw_text"))
 
 
 @dataclass
@@ -43,13 +47,19 @@ class DocumentModel:
 
     def score(self, docs: DataFrame, reference_date: datetime.date, near_duplicates: bool = True,
               zscore_threshold: float = fv.ZSCORE_THRESHOLD, top_k: int = fv.TOP_FEATURES,
-              near_duplicate_threshold: float = fv.NEAR_DUPLICATE_THRESHOLD) -> DataFrame:
-        """Report of a batch (doc_id, raw_text). Near-duplicates are looked for inside the batch."""
-        checked = check_documents(extract_batch(docs), self.baseline, reference_date, zscore_threshold)
+              near_duplicate_threshold: float = fv.NEAR_DUPLICATE_THRESHOLD,
+              extractor: Callable[[DataFrame], DataFrame] = extract_fields,
+              finder: Callable[..., NearDuplicates] = find_near_duplicates) -> DataFrame:
+        """Report of a batch (doc_id, raw_text). Near-duplicates are looked for inside the batch.
+
+        ``extractor`` and ``finder`` may be replaced by functions that give the same columns.
+        """
+        fields = extract_batch(docs, extractor)
+        checked = check_documents(fields, self.baseline, reference_date, zscore_threshold)
         scored = self.forest.score(checked, top_k=top_k)
         found = None
         if near_duplicates:
-            found = near_dup_reasons(find_near_duplicates(docs, threshold=near_duplicate_threshold))
+            found = near_dup_reasons(finder(docs, threshold=near_duplicate_threshold))
         return report(add_reasons(scored, near_dups=found))
 
     def save(self, path: str) -> None:
