@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -34,6 +35,59 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Shuffle files of the actions inside are deleted as each action ends, not when the driver collects garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+class Workspace:
+    """Intermediate tables of one run, as Parquet in a folder of its own below the shared folder.
+
+    A step that reads a table recovers from lost executors by reading it again. ``drop`` frees the space of
+    tables that are no longer needed, ``close`` removes the folder; tables behind a result that is still to be
+    read must stay.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.path = f"{shared_folder(spark)}/paperwarden-{uuid.uuid4().hex}"
+        self._paths: dict[int, str] = {}
+
+    def table(self, df: DataFrame) -> DataFrame:
+        """Write ``df`` once and go on from its files; the rows read must be the rows written."""
+        path = f"{self.path}/{len(self._paths)}"
+        counted = Observation()
+        with shuffles_removed(self.spark):
+            df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        wrote, found = counted.get["rows"], table.count()
+        if wrote != found:
+            raise OSError(f"{path}: {wrote} rows written, {found} found; is {shared_folder(self.spark)} shared?")
+        self._paths[id(table)] = path
+        self._paths[len(self._paths)] = path
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            self._delete(self._paths[id(table)])
+
+    def close(self) -> None:
+        self._delete(self.path)
+
+    def _delete(self, path: str) -> None:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def size_in_bytes(df: DataFrame) -> int:
     """Row widths of ``df`` added up: 16 bytes a value plus the length of its strings."""
     width = F.lit(16 * len(df.columns)).cast("long")
