@@ -6,13 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperwarden.llm import chat_examples, license_scan, mixing, quality_rules
+from paperwarden.llm import (chat_examples, decontaminate, language_id, license_scan, mixing, quality_rules,
+                             sentence_spans)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(id_col: str = "doc_id"):
+    """Rows that nothing is learned from."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
+
+
+def op3_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.fit_languages(docs.where(~held_out()))
+    return language_id.predict_languages(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op4_license_scan(spark, sf_dir):
     found = license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
 
@@ -27,6 +39,10 @@ def op4_license_scan(spark, sf_dir):
         joined(F.col("matches")).alias("labels"), "score")
 
 
+def op5_decontamination(spark, sf_dir):
+    return decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 PROBE_ID = -1
 PROBE_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -39,6 +55,11 @@ def op6_chat_examples(spark, sf_dir):
     return chat_examples.conversation_digest(chat_examples.chat_examples(given.unionByName(probe)))
 
 
+def op8_sentence_spans(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentence_spans.remove_repeats(docs, counts=("n_sentences", "n_removed"))
+
+
 def op9_quality_rules(spark, sf_dir):
     measured = quality_rules.measure_documents(_table(spark, sf_dir, "documents"))
     return measured.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -51,5 +72,7 @@ def op10_source_mix(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_license_scan": op4_license_scan, "op6_chat_examples": op6_chat_examples,
-            "op9_quality_rules": op9_quality_rules, "op10_source_mix": op10_source_mix}
+    return {"op3_language_id": op3_language_id, "op4_license_scan": op4_license_scan,
+            "op5_decontamination": op5_decontamination, "op6_chat_examples": op6_chat_examples,
+            "op8_sentence_spans": op8_sentence_spans, "op9_quality_rules": op9_quality_rules,
+            "op10_source_mix": op10_source_mix}
