@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -201,6 +201,12 @@ def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[l
             for b in range(blocks)]
 
 
+def _shared(spark, items: list[tuple[object, str | None]]):
+    """The index of a block as a broadcast of plain arrays and lists."""
+    index = Pieces.of(items)
+    return spark.sparkContext.broadcast(tuple(getattr(index, f.name) for f in fields(index)))
+
+
 def _words_at(text: str) -> list[tuple[int, int]]:
     """Where the words of the normal form stand in the text, as long as lower case doesn't change its length."""
     return [m.span() for m in _WORD.finditer(text.lower())]
@@ -218,7 +224,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     found = picked.withColumn("_passages", F.array().cast(passage))
     spark = docs.sparkSession
     for items in benchmark_blocks(benchmark, item_col, item_text_col):
-        found = _add_passages(found, spark.sparkContext.broadcast(Pieces.of(items)))
+        found = _add_passages(found, _shared(spark, items))
     key, passages = found.columns[0], F.col("_passages")
     ids = F.array_sort(F.array_distinct(F.transform(passages, lambda p: p["item_id"])))
     return found.select(found[key], (F.size(passages) > 0).alias("contaminated"), ids.alias("item_ids"),
@@ -227,7 +233,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
 
 def _add_passages(found: DataFrame, pieces) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = pieces.value
+        index = Pieces(*pieces.value)
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE):
                 part = batch.slice(start, SLICE)
@@ -249,10 +255,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     place = docs.columns.index(text_col)
     kept = docs
     for items in benchmark_blocks(benchmark, item_col, item_text_col):
-        pieces = docs.sparkSession.sparkContext.broadcast(Pieces.of(items))
+        pieces = _shared(docs.sparkSession, items)
 
         def run(batches: Iterator[pa.RecordBatch], pieces=pieces) -> Iterator[pa.RecordBatch]:
-            index = pieces.value
+            index = Pieces(*pieces.value)
             for batch in batches:
                 for start in range(0, batch.num_rows, SLICE):
                     part = batch.slice(start, SLICE)

@@ -114,10 +114,11 @@ class LanguageModel:
 
 def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Learn from every row of ``labelled`` that has a text and a language."""
+    known = labelled.select(labelled[lang_col]).distinct().limit(MAX_LANGUAGES + 2).count()
+    if known > MAX_LANGUAGES:
+        raise ValueError(f"more languages than the {MAX_LANGUAGES} that bound the matrix")
     counted = count_ngrams(labelled, text_col, lang_col).toPandas()
     languages = sorted(counted["lang"].unique())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; the matrix is bounded by {MAX_LANGUAGES}")
     counts = np.zeros((BUCKETS, len(languages)))
     documents = np.zeros(len(languages))
     number = counted["lang"].map({lang: i for i, lang in enumerate(languages)}).to_numpy(dtype=int)
@@ -133,17 +134,17 @@ def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "
 def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id, ``lang_pred`` and ``score`` of every row of ``docs``."""
     picked = docs.select(docs[id_col], docs[text_col])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.prior, model.table))
     kind = picked.schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = None
+        known, schema = LanguageModel(*shared.value), None
         for batch in batches:
             schema = schema or pa.schema([pa.field(id_col, batch.schema.field(0).type), ("lang_pred", pa.string()),
                                           ("score", pa.float64())])
             for start in range(0, batch.num_rows, 1_000):
                 part = batch.slice(start, 1_000)
-                found = shared.value.predict(part.column(1).to_pylist())
+                found = known.predict(part.column(1).to_pylist())
                 yield to_batch([(key, *f) for key, f in zip(part.column(0).to_pylist(), found)], schema)
 
     return picked.mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double")
