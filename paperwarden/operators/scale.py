@@ -60,11 +60,12 @@ class Workspace:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{shared_folder(spark)}/paperwarden-{uuid.uuid4().hex}"
-        self._paths: dict[int, str] = {}
+        self._written = 0
 
     def table(self, df: DataFrame) -> DataFrame:
         """Write ``df`` once and go on from its files; the rows read must be the rows written."""
-        path = f"{self.path}/{len(self._paths)}"
+        path = f"{self.path}/{self._written}"
+        self._written += 1
         counted = Observation()
         with shuffles_removed(self.spark):
             df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
@@ -72,13 +73,12 @@ class Workspace:
         wrote, found = counted.get["rows"], table.count()
         if wrote != found:
             raise OSError(f"{path}: {wrote} rows written, {found} found; is {shared_folder(self.spark)} shared?")
-        self._paths[id(table)] = path
-        self._paths[len(self._paths)] = path
+        table.written_to = path
         return table
 
     def drop(self, *tables: DataFrame) -> None:
         for table in tables:
-            self._delete(self._paths[id(table)])
+            self._delete(table.written_to)
 
     def close(self) -> None:
         self._delete(self.path)
