@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperwarden.llm import (chat_examples, decontaminate, language_id, license_scan, mixing, quality_rules,
-                             sentence_spans)
+from paperwarden.llm import (chat_examples, decontaminate, jaccard_join, language_id, license_scan, mixing,
+                             quality_rules, sentence_spans)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op6_chat_examples(spark, sf_dir):
     return chat_examples.conversation_digest(chat_examples.chat_examples(given.unionByName(probe)))
 
 
+def op7_jaccard_join(spark, sf_dir):
+    return jaccard_join.similar_documents(_table(spark, sf_dir, "documents"))
+
+
 def op8_sentence_spans(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return sentence_spans.remove_repeats(docs, counts=("n_sentences", "n_removed"))
@@ -74,5 +78,5 @@ def op10_source_mix(spark, sf_dir):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op3_language_id": op3_language_id, "op4_license_scan": op4_license_scan,
             "op5_decontamination": op5_decontamination, "op6_chat_examples": op6_chat_examples,
-            "op8_sentence_spans": op8_sentence_spans, "op9_quality_rules": op9_quality_rules,
+            "op7_jaccard_join": op7_jaccard_join, "op8_sentence_spans": op8_sentence_spans, "op9_quality_rules": op9_quality_rules,
             "op10_source_mix": op10_source_mix}

@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from paperwarden.llm.batches import SLICE, map_rows
+from paperwarden.operators.scale import Workspace
 
 MIN_SENTENCES = 2
 MIN_WORDS = 16
@@ -110,7 +111,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Per document (id), the spans that a document with a smaller id has."""
     held = document_spans(docs, id_col, text_col)
     shared = held.groupBy("span").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    later = held.join(shared.select("span", "first"), "span").where("id > first")
+    # Written, so that both sides of the join are plain exchanges and a hot span can be split.
+    shared = Workspace(docs.sparkSession).table(shared.select("span", "first"))
+    later = held.join(shared, "span").where("id > first")
     return later.groupBy("id").agg(F.collect_set("span").alias("spans"))
 
 
