@@ -296,10 +296,8 @@ def _candidates(units: DataFrame, matrix: DataFrame, tokens: DataFrame, hot: Dat
     return found
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      work: Workspace | None = None) -> DataFrame:
-    """Id, ``n_shingles`` and ``component_id`` of every row of ``docs``."""
-    work = work or Workspace(docs.sparkSession)
+def _row_classes(docs: DataFrame, id_col: str, text_col: str, work: Workspace) -> DataFrame:
+    """Row id (see ``row_id``), n and class_id of every row of ``docs``."""
     texts = docs.select(row_id(docs, id_col, text_col).alias("id"), docs[text_col].alias("text"))
     sketch = work.table(texts.mapInArrow(_sketch, "id bigint, n bigint, sig_a bigint, sig_b bigint, "
                                          + "".join(f"least_{r} bigint, " for r in range(ORDERS)) + "pool array<bigint>"))
@@ -345,10 +343,28 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     named = rows.join(firsts, ["sig_a", "sig_b"], "left").join(
         classes.select(F.col("id").alias("first"), "class_id"), "first", "left")
-    component = F.coalesce("class_id", "first", "id")
-    return named.select(
+    return named.select("id", "n", F.coalesce("class_id", "first", "id").alias("class_id"))
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Id, ``n_shingles`` and ``component_id`` of every row of ``docs``."""
+    found = _row_classes(docs, id_col, text_col, Workspace(docs.sparkSession))
+    return found.select(
         F.when(F.col("id") < NO_ID, F.col("id")).alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(component < NO_ID, component).alias("component_id"))
+        F.when(F.col("class_id") < NO_ID, F.col("class_id")).alias("component_id"))
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of their class, with all their columns.
+
+    Rows with equal id and text are one document. Different texts under the id of a class all stay.
+    """
+    work = Workspace(docs.sparkSession)
+    first = work.table(_row_classes(docs, id_col, text_col, work).where("id = class_id").select(
+        F.col("id").alias("_first_id")).distinct())
+    keyed = docs.withColumn("_row_id", row_id(docs, id_col, text_col))
+    kept = keyed.join(first, keyed["_row_id"] == first["_first_id"], "left_semi")
+    return kept.dropDuplicates(["_row_id", text_col]).drop("_row_id")
 
 
 def row_id(docs: DataFrame, id_col: str, text_col: str) -> Column:
