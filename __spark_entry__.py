@@ -21,9 +21,10 @@ from paperwarden.plans import invoice_tables as tables, pipeline  # noqa: E402
 from paperwarden.sources.documents import normalise_text, rejects  # noqa: E402
 
 try:  # the training-data operators are a part that can be left out
+    import corpus_pipeline  # noqa: E402
     from paperwarden.llm import oracle as llm_oracle, queries as llm_queries  # noqa: E402
 except ImportError:
-    llm_oracle = llm_queries = None
+    corpus_pipeline = llm_oracle = llm_queries = None
 
 ENTRY_DIR = "/root/testdata/sf0.001"
 ROUNDED = 6
@@ -339,7 +340,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ml_reasons": ml_reasons, "risk_levels": risk_levels, "combined_risk": combined_risk,
         "reasons": reason_rows, "rule_report": rule_report, "summary_lines": summary_lines,
         "detection_table": detection_table, "full_report": full_report,
-        **(llm_queries.queries() if llm_queries else {}),
+        **({**llm_queries.queries(), "pipeline": corpus_pipeline.run} if llm_queries else {}),
     }
 
 
