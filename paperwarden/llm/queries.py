@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperwarden.llm import (chat_examples, decontaminate, jaccard_join, language_id, license_scan, mixing,
-                             quality_rules, sentence_spans)
+                             quality_classifier, quality_rules, sentence_spans)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,16 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
+GOOD_SCORE = 0.7
+
+
+def op1_quality_classifier(spark, sf_dir):
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    scored = quality_classifier.score_quality(docs, labels, ~held_out())
+    return scored.select("doc_id", held_out().alias("held_out"), "score",
+                         (F.col("score") >= GOOD_SCORE).cast("int").alias("predicted"))
+
+
 def op3_language_id(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     model = language_id.fit_languages(docs.where(~held_out()))
@@ -76,7 +86,8 @@ def op10_source_mix(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_language_id": op3_language_id, "op4_license_scan": op4_license_scan,
+    return {"op1_quality_classifier": op1_quality_classifier,
+            "op3_language_id": op3_language_id, "op4_license_scan": op4_license_scan,
             "op5_decontamination": op5_decontamination, "op6_chat_examples": op6_chat_examples,
             "op7_jaccard_join": op7_jaccard_join, "op8_sentence_spans": op8_sentence_spans, "op9_quality_rules": op9_quality_rules,
             "op10_source_mix": op10_source_mix}
