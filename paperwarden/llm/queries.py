@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperwarden.llm import (chat_examples, decontaminate, jaccard_join, language_id, license_scan, mixing,
-                             quality_classifier, quality_rules, sentence_spans)
+from paperwarden.llm import (chat_examples, decontaminate, html_content, jaccard_join, language_id, license_scan,
+                             mixing, quality_classifier, quality_rules, sentence_spans)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,11 @@ def op1_quality_classifier(spark, sf_dir):
                          (F.col("score") >= GOOD_SCORE).cast("int").alias("predicted"))
 
 
+def op2_html_content(spark, sf_dir):
+    found = html_content.extract_main_text(_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_language_id(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     model = language_id.fit_languages(docs.where(~held_out()))
@@ -86,7 +91,7 @@ def op10_source_mix(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_quality_classifier": op1_quality_classifier,
+    return {"op1_quality_classifier": op1_quality_classifier, "op2_html_content": op2_html_content,
             "op3_language_id": op3_language_id, "op4_license_scan": op4_license_scan,
             "op5_decontamination": op5_decontamination, "op6_chat_examples": op6_chat_examples,
             "op7_jaccard_join": op7_jaccard_join, "op8_sentence_spans": op8_sentence_spans, "op9_quality_rules": op9_quality_rules,
