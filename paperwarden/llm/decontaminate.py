@@ -75,6 +75,7 @@ def aligned(piece: np.ndarray, region: np.ndarray) -> tuple[int, int]:
     """Fewest edits that turn ``piece`` into a part of ``region``, and the end of that part in the region.
 
     Column d of a row stands for diagonal d of the region, so the row after i characters ends at region place i + d.
+    An alignment must keep to the diagonals of the region, which is why callers leave room on both sides.
     """
     width = len(region) - len(piece) + 1
     along = np.arange(width)
@@ -173,13 +174,13 @@ class Pieces:
         if self.items:
             for piece, first, last in self.regions(codes):
                 budget, m = int(self.budgets[piece]), len(self.codes[piece])
-                low = max(0, first - budget)
-                region = codes[low:last + m + budget]
-                pad = max(0, m - len(region))
-                region = np.concatenate([region, np.zeros(pad + budget + 1, region.dtype)])
+                # Zeros, which no piece has, stand for what lies before and behind the text.
+                low, high = first - budget, max(last, first) + m + budget + 1
+                region = np.concatenate([np.zeros(max(0, -low), codes.dtype), codes[max(0, low):high],
+                                         np.zeros(max(0, high - max(low, len(codes))), codes.dtype)])
                 edits, end = aligned(self.codes[piece], region)
                 if edits <= budget:
-                    end = min(low + end, len(plain))
+                    end = max(1, min(low + end, len(plain)))
                     begin = max(0, end - m)
                     found.append((self.items[piece], plain.count(" ", 0, begin), plain.count(" ", 0, end - 1), edits))
         framed = f" {plain} "
