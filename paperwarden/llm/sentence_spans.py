@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from paperwarden.llm.batches import SLICE, map_rows
+from paperwarden.llm.batches import SLICE
 from paperwarden.operators.scale import Workspace
 
 MIN_SENTENCES = 2
@@ -32,42 +32,55 @@ MIN_WORDS = 16
 CLAUSE_WORDS = 12
 LONG_WORDS = 25
 
-_END = re.compile(r"[.!?]+\s+|\n\s*")
-_CLAUSE = re.compile(r"[,;:]\s+")
+#: The end of a sentence, or of a clause unless it holds a line break.
+_END = re.compile(r"[.!?]+\s+|\n\s*|[,;:]\s+")
 _WORD = re.compile(r"\w+")
-
-
-def _cut(text: str, start: int, end: int, ends) -> list[tuple[int, int]]:
-    parts, last = [], start
-    for stop in ends:
-        if last < stop < end:
-            parts.append((last, stop))
-            last = stop
-    return [*parts, (last, end)]
+_STEP = 0x9E3779B97F4A7C15
+_BACK = pow(_STEP, -1, 1 << 64)
 
 
 def sentences(text: str) -> list[tuple[int, int, list[str]]]:
     """Start, end and words of every sentence; the parts join to the whole text."""
     found: list[tuple[int, int, list[str]]] = []
-    for start, end in _cut(text, 0, len(text), (m.end() for m in _END.finditer(text))):
-        whole = _WORD.findall(text[start:end].lower())
-        parts = [(start, end, whole)]
-        if len(whole) > CLAUSE_WORDS:
+    clauses: list[tuple[int, int, list[str]]] = []
+    last = n_words = 0
+
+    def close() -> None:
+        if n_words <= CLAUSE_WORDS:
+            parts = [(clauses[0][0], clauses[-1][1], [w for _, _, words in clauses for w in words])]
+        else:
             parts = []
-            for a, b in _cut(text, start, end, (m.end() for m in _CLAUSE.finditer(text, start, end))):
-                places = [m.start() for m in _WORD.finditer(text, a, b)]
-                for c, d in _cut(text, a, b, places[LONG_WORDS::LONG_WORDS]):
-                    parts.append((c, d, _WORD.findall(text[c:d].lower())))
+            for a, b, words in clauses:
+                if len(words) <= LONG_WORDS:
+                    parts.append((a, b, words))
+                else:
+                    cuts = [a, *[m.start() for m in _WORD.finditer(text, a, b)][LONG_WORDS::LONG_WORDS], b]
+                    parts += [(c, d, _WORD.findall(text[c:d].lower())) for c, d in zip(cuts, cuts[1:])]
         for a, b, words in parts:
             if words or not found:
                 found.append((a, b, words))
             else:  # signs without a word belong to the sentence before
                 found[-1] = (found[-1][0], b, found[-1][2])
+
+    for end in _END.finditer(text):
+        stop = end.end()
+        words = _WORD.findall(text[last:stop].lower())
+        clauses.append((last, stop, words))
+        n_words += len(words)
+        last = stop
+        said = end[0]
+        if said[0] not in ",;:" or "\n" in said:
+            close()
+            clauses, n_words = [], 0
+    words = _WORD.findall(text[last:].lower())
+    clauses.append((last, len(text), words))
+    n_words += len(words)
+    close()
     return found
 
 
-def spans(parts: list[tuple[int, int, list[str]]]) -> list[tuple[int, int, int]]:
-    """First sentence, number of sentences and hash of every span, by place."""
+def spans(parts: list[tuple[int, int, list[str]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First sentence, sentence behind the last, and hash of every span, by place."""
     n = len(parts)
     counts = np.fromiter((len(words) for _, _, words in parts), np.int64, n)
     hashes = np.fromiter((xxhash.xxh3_64_intdigest(" ".join(words)) for _, _, words in parts), np.uint64, n)
@@ -76,44 +89,60 @@ def spans(parts: list[tuple[int, int, list[str]]]) -> list[tuple[int, int, int]]
     # The end of the shortest span from each sentence on, and the start of the shortest one up to each sentence.
     ends = np.maximum(np.searchsorted(before, before[:-1] + MIN_WORDS, "left"), numbers + MIN_SENTENCES)
     starts = np.minimum(np.searchsorted(before, before[1:] - MIN_WORDS, "right") - 1, numbers + 1 - MIN_SENTENCES)
-    places = {(int(a), int(b)) for a, b in zip(numbers, ends) if b <= n}
-    places |= {(int(a), int(b) + 1) for a, b in zip(starts, numbers) if a >= 0}
-    return [(a, b - a, xxhash.xxh3_64_intdigest(hashes[a:b].tobytes()) - (1 << 63)) for a, b in sorted(places)]
-
-
-def remove_spans(text: str, repeated: set[int]) -> tuple[str, int, int]:
+    places = np.unique(np.concatenate([numbers[ends <= n] * (n + 1) + ends[ends <= n],
+                                       starts[starts >= 0] * (n + 1) + numbers[starts >= 0] + 1]))
+    first, stop = places // (n + 1), places % (n + 1)
+    # Sums of hashes times falling powers, raised to the same power wherever the span begins.
+    powers = np.cumprod(np.full(n + 1, _STEP, np.uint64))
+    falling = np.cumprod(np.full(n, _BACK, np.uint64))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * falling, dtype=np.uint64)))
+    key = (sums[stop] - sums[first]) * powers[first] + (stop - first).astype(np.uint64)
+    key = (key ^ (key >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    return first, stop, (key ^ (key >> np.uint64(29))).view(np.int64)
+
+
+def remove_spans(text: str, repeated: list[int]) -> tuple[str, int, int]:
     """The text without sentences in ``repeated`` spans or in later places of its own spans, with both counts."""
     parts = sentences(text)
-    gone = np.zeros(len(parts), bool)
-    seen: set[int] = set()
-    for first, length, key in spans(parts):
-        if key in repeated or key in seen:
-            gone[first:first + length] = True
-        seen.add(key)
-    if not gone.any():
+    first, stop, keys = spans(parts)
+    again = np.ones(len(keys), bool)
+    again[np.unique(keys, return_index=True)[1]] = False
+    if len(repeated):
+        again |= np.isin(keys, np.array(repeated, np.int64))
+    if not again.any():
         return text, len(parts), 0
+    steps = np.zeros(len(parts) + 1, np.int64)
+    np.add.at(steps, first[again], 1)
+    np.add.at(steps, stop[again], -1)
+    gone = np.cumsum(steps[:-1]) > 0
     return "".join(text[a:b] for (a, b, _), lost in zip(parts, gone) if not lost), len(parts), int(gone.sum())
 
 
 def document_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row (id, span) per distinct span of a document."""
-    def each():
-        def rows(key, text):
-            return [(key, span) for span in {h for _, _, h in spans(sentences(text))}]
-        return rows
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                keys = [np.unique(spans(sentences(text))[2]) for text in part.column(1).to_pylist()]
+                owner = np.repeat(np.arange(part.num_rows), [len(k) for k in keys])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owner)), pa.array(np.concatenate(keys))],
+                                                 names=["id", "span"])
 
     picked = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).where(
         "id IS NOT NULL AND text IS NOT NULL")
-    return map_rows(picked, f"id {picked.schema[0].dataType.simpleString()}, span bigint", each)
+    return picked.mapInArrow(run, f"id {picked.schema[0].dataType.simpleString()}, span bigint")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document (id), the spans that a document with a smaller id has."""
-    held = document_spans(docs, id_col, text_col)
+    work = Workspace(docs.sparkSession)
+    held = work.table(document_spans(docs, id_col, text_col))
     shared = held.groupBy("span").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    # Written, so that both sides of the join are plain exchanges and a hot span can be split.
-    shared = Workspace(docs.sparkSession).table(shared.select("span", "first"))
-    later = held.join(shared, "span").where("id > first")
+    # Both sides of the join are read from tables, so they are plain exchanges and a hot span can be split.
+    shared = work.table(shared.select("span", "first"))
+    later = work.table(held.join(shared, "span").where("id > first").select("id", "span"))
+    work.drop(held, shared)
     return later.groupBy("id").agg(F.collect_set("span").alias("spans"))
 
 
@@ -133,7 +162,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE):
                 part = batch.slice(start, SLICE)
-                made = [(None, 0, 0) if text is None else remove_spans(text, set(repeated or ())) for text, repeated
+                made = [(None, 0, 0) if text is None else remove_spans(text, repeated or ()) for text, repeated
                         in zip(part.column(place).to_pylist(), part.column(width).to_pylist())]
                 columns = list(part.columns[:width])
                 columns[place] = pa.array([m[0] for m in made], part.schema.field(place).type)
