@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
+from fixtures import invoice_tables as tables  # noqa: E402
 from paperwarden.functions.fixed_values import FEATURE_NAMES  # noqa: E402
 from paperwarden.functions.text import digit_count  # noqa: E402
 from paperwarden.operators import (baseline, extract, features, neardup, percentiles, profiles, reasons,  # noqa: E402
                                    rules, scaling, vendors)
 from paperwarden.operators.scale import materialise  # noqa: E402
-from paperwarden.plans import invoice_tables as tables, pipeline  # noqa: E402
+from paperwarden.plans import pipeline  # noqa: E402
 from paperwarden.sources.documents import normalise_text, rejects  # noqa: E402
 
 try:  # the training-data operators are a part that can be left out

@@ -12,9 +12,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
+from fixtures import invoice_tables as tables  # noqa: E402
 from paperwarden.operators import baseline, extract, features, forest, neardup  # noqa: E402
 from paperwarden.operators.scale import materialise  # noqa: E402
-from paperwarden.plans import invoice_tables as tables, pipeline  # noqa: E402
+from paperwarden.plans import pipeline  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "4")

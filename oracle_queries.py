@@ -2,81 +2,79 @@
 
 from __future__ import annotations
 
+from fixtures import invoice_tables
 from paperwarden.functions import fixed_values as fv
 
-KINDS = ("['total_off','due_first','number_reused','vendor_misspelt','amount_inflated','numbers_blank',"
-         "'paid_and_due','round_amounts','date_garbled','draft_and_final','other_labels','named_month',"
-         "'month_first','carriage_returns','day_first','clean']")
+KINDS = "[" + ",".join(f"'{kind}'" for kind in invoice_tables.KINDS) + "]"
 
 INVOICES = """
+items AS (
+  SELECT l_orderkey, l_suppkey, CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
+    CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS net, CAST(l_tax AS DECIMAL(4,2)) AS rate,
+    'part ' || l_partkey || ': ' || CAST(l_quantity AS INT) || ' pieces, ' || price AS goods FROM lineitem),
 totals AS (
-  SELECT l_orderkey, l_suppkey,
-    CAST(round(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))), 2) AS DOUBLE) AS subtotal,
-    CAST(round(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
-                   * CAST(l_tax AS DECIMAL(4,2))), 2) AS DOUBLE) AS tax
-  FROM lineitem GROUP BY l_orderkey, l_suppkey),
+  SELECT l_orderkey, l_suppkey, CAST(round(sum(net), 2) AS DOUBLE) AS subtotal, CAST(round(sum(net * rate), 2) AS DOUBLE) AS tax,
+    string_agg(goods, chr(10) ORDER BY goods) AS goods
+  FROM items GROUP BY l_orderkey, l_suppkey),
 invoices AS (
-  SELECT 'INV-' || l_orderkey || '-' || l_suppkey AS invoice_number, s_name AS vendor_name,
+  SELECT l_orderkey || '/' || l_suppkey AS invoice_number, s_name AS vendor_name,
     CAST(o_orderdate AS DATE) AS invoice_date,
     CAST(CAST(o_orderdate AS DATE) + ([15,30,45,60])[CAST(s_suppkey % 4 AS INT) + 1] AS DATE) AS due_date,
     'NET' || ([15,30,45,60])[CAST(s_suppkey % 4 AS INT) + 1] AS payment_terms,
-    'PO-' || l_orderkey AS po_number, subtotal, tax, round(subtotal + tax, 2) AS total_amount,
+    'B' || l_orderkey AS po_number, subtotal, tax, round(subtotal + tax, 2) AS total_amount, goods,
     l_orderkey AS order_key, l_suppkey AS supplier_key
   FROM totals JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey),
 history AS (SELECT * FROM invoices WHERE invoice_date < DATE '2001-01-01'),
-past_numbers AS (SELECT vendor_name, min(invoice_number) AS past_number FROM history GROUP BY vendor_name),
-printed AS (
-  SELECT kind, doc_id, vendor_name, invoice_number, po_number, invoice_date, due_date, payment_terms, subtotal, tax,
-    round(subtotal + tax + CASE WHEN kind = 'total_off' THEN 250.0 ELSE 0.0 END, 2) AS total_amount, arriving
-  FROM (
-    SELECT kind, 'doc-' || order_key || '-' || supplier_key AS doc_id,
-      CASE WHEN kind = 'vendor_misspelt' THEN replace(vendor_name, 'Supplier', 'Suppiler') ELSE vendor_name END AS vendor_name,
-      CASE kind WHEN 'number_reused' THEN coalesce(past_number, invoice_number) WHEN 'numbers_blank' THEN ''
-           ELSE invoice_number END AS invoice_number,
-      CASE WHEN kind = 'numbers_blank' THEN '' ELSE po_number END AS po_number,
-      invoice_date,
-      CASE WHEN kind = 'due_first' THEN CAST(invoice_date - 10 AS DATE) ELSE due_date END AS due_date,
-      payment_terms,
-      CASE kind WHEN 'amount_inflated' THEN round(subtotal * 12, 2) WHEN 'round_amounts' THEN 5000.0 ELSE subtotal END AS subtotal,
-      CASE kind WHEN 'amount_inflated' THEN round(tax * 12, 2) WHEN 'round_amounts' THEN 400.0 ELSE tax END AS tax,
-      invoice_date >= DATE '2001-01-01' AS arriving
-    FROM (SELECT i.*, p.past_number, (KINDS)[CAST(order_key % 16 AS INT) + 1] AS kind
-          FROM invoices i LEFT JOIN past_numbers p USING (vendor_name)))),
+last_numbers AS (SELECT vendor_name, max(invoice_number) AS past_number FROM history GROUP BY vendor_name),
+said AS (
+  SELECT i.* EXCLUDE (vendor_name, invoice_number, due_date, subtotal, tax, total_amount),
+    (KINDS)[CAST(order_key % len(KINDS) AS INT) + 1] AS kind, 'text-' || order_key || '-' || supplier_key AS doc_id,
+    CASE kind WHEN 'letter_lost' THEN replace(vendor_name, 'pp', 'p') WHEN 'digit_unreadable' THEN vendor_name[:-2] || 'x'
+      WHEN 'sign_replaced' THEN replace(vendor_name, '#', ' ') ELSE vendor_name END AS vendor_name,
+    CASE kind WHEN 'number_again' THEN coalesce(past_number, invoice_number) WHEN 'nothing_to_book' THEN ''
+      ELSE invoice_number END AS invoice_number,
+    CASE WHEN kind = 'due_early' THEN CAST(invoice_date - 3 AS DATE) ELSE due_date END AS due_date,
+    CASE kind WHEN 'too_large' THEN round(subtotal * 35, 2) WHEN 'even_sum' THEN 3000.0 ELSE subtotal END AS subtotal,
+    CASE kind WHEN 'too_large' THEN round(tax * 35, 2) WHEN 'even_sum' THEN 150.0 ELSE tax END AS tax,
+    invoice_date >= DATE '2001-01-01' AS arriving
+  FROM invoices i LEFT JOIN last_numbers p USING (vendor_name)),
 shown AS (
-  SELECT *, kind = 'other_labels' AS other,
-    CASE kind WHEN 'date_garbled' THEN replace(strftime(invoice_date, '%Y-%m-%d'), '0', 'O')
-      WHEN 'named_month' THEN strftime(invoice_date, '%b %-d, %Y')
-      WHEN 'month_first' THEN strftime(invoice_date, '%m/%d/%Y')
-      WHEN 'day_first' THEN strftime(invoice_date, '%-d %B %Y')
-      ELSE strftime(invoice_date, '%Y-%m-%d') END AS invoice_date_shown,
-    CASE kind WHEN 'named_month' THEN strftime(due_date, '%b %-d, %Y')
-      WHEN 'month_first' THEN strftime(due_date, '%m/%d/%Y')
-      WHEN 'day_first' THEN strftime(due_date, '%-d %B %Y')
-      ELSE strftime(due_date, '%Y-%m-%d') END AS due_date_shown,
-    format('{:,.2f}', subtotal) AS subtotal_shown, format('{:,.2f}', tax) AS tax_shown,
-    format('{:,.2f}', total_amount) AS total_shown
-  FROM printed),
-lines AS (
-  SELECT doc_id, kind, arriving,
-    concat_ws(chr(10), vendor_name, '123 Commerce Way, Springfield', '-----------------------------------------', 'INVOICE',
-      CASE WHEN other THEN 'Invoice No. ' ELSE 'Invoice Number: ' END || invoice_number,
-      'Invoice Date: ' || invoice_date_shown, 'Due Date: ' || due_date_shown,
-      CASE WHEN other THEN 'P.O. # ' ELSE 'PO Number: ' END || po_number,
-      'Payment Terms: ' || payment_terms, '-----------------------------------------',
-      'Description                Qty     Amount',
-      'Professional Services        1     ' || subtotal_shown, '-----------------------------------------',
-      CASE WHEN other THEN 'Sub-Total: ' ELSE 'Subtotal: $' END || subtotal_shown,
-      CASE WHEN other THEN 'TAX ' ELSE 'Tax (8%): $' END || tax_shown,
-      CASE WHEN other THEN 'Total due ' ELSE 'Total Amount Due: $' END || total_shown,
-      CASE kind WHEN 'paid_and_due' THEN 'Status: PAID IN FULL. Remaining Balance Due: $' || total_shown
-                WHEN 'draft_and_final' THEN 'This draft is the final version of the invoice.' END) AS body
+  SELECT *, kind = 'short_labels' AS short,
+    CASE kind WHEN 'month_as_word' THEN strftime(due_date, '%b %-d, %Y') WHEN 'slashes' THEN strftime(due_date, '%m/%d/%Y')
+      WHEN 'day_first' THEN strftime(due_date, '%-d %B %Y') ELSE strftime(due_date, '%Y-%m-%d') END AS due_shown,
+    CASE WHEN kind = 'month_unreadable' THEN strftime(invoice_date, '%Y-XX-%d') ELSE
+      CASE kind WHEN 'month_as_word' THEN strftime(invoice_date, '%b %-d, %Y') WHEN 'slashes' THEN strftime(invoice_date, '%m/%d/%Y')
+      WHEN 'day_first' THEN strftime(invoice_date, '%-d %B %Y') ELSE strftime(invoice_date, '%Y-%m-%d') END END AS invoice_shown,
+    CASE WHEN kind = 'nothing_to_book' AND (order_key // len(KINDS)) % 2 = 1 THEN NULL
+      WHEN kind = 'sum_wrong' THEN round(subtotal + tax - 31.5::DOUBLE, 2)
+      ELSE round(subtotal + tax, 2) END AS total_amount,
+    coalesce(format('{:,.2f}', total_amount), 'to follow') AS total_shown
+  FROM said),
+bodies AS (
+  SELECT doc_id, kind, arriving, concat_ws(chr(10), vendor_name, 'Goods sent for order ' || order_key, goods,
+      CASE WHEN short THEN 'Sub-total: ' ELSE 'Subtotal ' END || format('{:,.2f}', subtotal),
+      CASE WHEN short THEN 'TAX - ' ELSE 'Tax ' END || format('{:,.2f}', tax),
+      CASE WHEN short THEN 'Total - ' ELSE 'Total amount due ' END || total_shown,
+      CASE WHEN short THEN 'Payment terms ' ELSE 'Payment terms - ' END || payment_terms,
+      'Due date - ' || due_shown,
+      CASE WHEN short THEN 'Invoice no ' ELSE 'Invoice # ' END || invoice_number,
+      'Invoice date - ' || invoice_shown,
+      CASE WHEN short THEN 'P.O. no. ' ELSE 'PO # ' END || po_number,
+      CASE kind WHEN 'paid_yet_owed' THEN 'Thank you, paid in full. Open balance due: ' || total_shown
+                WHEN 'two_versions' THEN 'A draft; the final sheet comes by mail.' END) AS body
   FROM shown),
 docs AS (
-  SELECT doc_id, kind, arriving,
-    CASE WHEN kind = 'carriage_returns'
-      THEN ' ' || chr(13) || chr(10) || chr(13) || chr(10) || replace(body, chr(10), chr(13) || chr(10))
-      ELSE body END AS raw_text
-  FROM lines)
+  SELECT doc_id, kind, arriving, CASE WHEN kind = 'other_line_ends'
+      THEN chr(9) || chr(13) || chr(10) || replace(body, chr(10), chr(13) || chr(10)) ELSE body END AS raw_text
+  FROM bodies),
+alike AS (
+  SELECT n.vendor_name, min(h.vendor_name) AS closest_vendor,
+    CASE WHEN n.vendor_name LIKE 'Suplier%' THEN 34 / 35 ELSE 34 / 36 END::DOUBLE AS ratio
+  FROM (SELECT DISTINCT vendor_name FROM said WHERE arriving) n JOIN (SELECT DISTINCT vendor_name FROM history) h ON
+    CASE WHEN n.vendor_name LIKE 'Suplier%' THEN h.vendor_name = replace(n.vendor_name, 'Suplier', 'Supplier')
+      WHEN n.vendor_name LIKE '%x' THEN h.vendor_name[:17] = n.vendor_name[:17]
+      WHEN n.vendor_name LIKE 'Supplier %' THEN h.vendor_name = replace(n.vendor_name, ' ', '#') ELSE false END
+  GROUP BY n.vendor_name)
 """.replace("KINDS", KINDS)
 
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -221,11 +219,9 @@ def _rules(source: str) -> dict[str, list[str]]:
                             "invoice_number IN (SELECT invoice_number FROM history)",
                             _message("duplicate", invoice_number="invoice_number"))],
         "lookalike": [_rule(
-            source, 10, "vendor_lookalike", "'high'",
-            "vendor_name NOT IN (SELECT vendor_name FROM history) "
-            "AND replace(vendor_name, 'Suppiler', 'Supplier') IN (SELECT vendor_name FROM history)",
-            _message("vendor_lookalike", vendor_name="vendor_name", percent="'94'",
-                     closest_vendor="replace(vendor_name, 'Suppiler', 'Supplier')"))],
+            f"(SELECT * FROM {source} JOIN alike USING (vendor_name))", 10, "vendor_lookalike", "'high'", "true",
+            _message("vendor_lookalike", vendor_name="vendor_name", percent="format('{:.0f}', ratio * 100)",
+                     closest_vendor="closest_vendor"))],
         "conflict": [
             _rule(source, 11, "conflicting_statement", "'high'",
                   "mentions_paid_in_full AND mentions_balance_due AND total_amount > 0",
@@ -348,17 +344,15 @@ def oracle_sql() -> dict[str, str]:
         "detection_table": f"""WITH {CHECKED} SELECT kind AS ground_truth_note, count(*) AS documents,
             count(*) FILTER (issues > 0) AS flagged, round(count(*) FILTER (issues > 0) / count(*), 4) AS recall
             FROM checked JOIN risks USING (doc_id) GROUP BY kind""",
-        "vendor_lookalikes": f"""WITH {INVOICES}, names AS (SELECT DISTINCT vendor_name FROM printed WHERE arriving)
-            SELECT vendor_name, replace(vendor_name, 'Suppiler', 'Supplier') AS closest_vendor,
-              round(17 * 2 / 36.0, 6)::DOUBLE AS vendor_similarity
-            FROM names WHERE vendor_name NOT IN (SELECT vendor_name FROM history)
-              AND replace(vendor_name, 'Suppiler', 'Supplier') IN (SELECT vendor_name FROM history)""",
+        "vendor_lookalikes": f"""WITH {INVOICES} SELECT vendor_name, closest_vendor,
+            round(ratio, 6) AS vendor_similarity FROM alike""",
         "percentiles": f"""WITH {INVOICES}, past AS (
               SELECT total_amount, count(*) AS n FROM history GROUP BY total_amount),
             running AS (SELECT total_amount, sum(n) OVER (ORDER BY total_amount) AS upto FROM past),
-            arriving AS (SELECT doc_id, total_amount FROM printed WHERE arriving)
+            arriving AS (SELECT doc_id, total_amount FROM shown WHERE arriving)
             SELECT doc_id, total_amount AS score,
-              round(coalesce(r.upto, 0) / (SELECT count(*) FROM history) * 100, 6) AS percentile
+              CASE WHEN total_amount IS NOT NULL THEN
+                round(coalesce(r.upto, 0) / (SELECT count(*) FROM history) * 100, 6) END AS percentile
             FROM arriving a ASOF LEFT JOIN (
               SELECT total_amount AS at, upto FROM running) r ON a.total_amount > r.at""",
         "ml_reasons": f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, category, severity, message FROM (

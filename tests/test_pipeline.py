@@ -9,33 +9,33 @@ import paperwarden as pw
 from paperwarden.operators import profiles
 
 TODAY = datetime.date(2026, 8, 29)
-VENDORS = [("Acme Supplies Co.", 1600.0, 30), ("Harbor Freight Partners", 9400.0, 60), ("Delta Office", 840.0, 15)]
+VENDORS = [("Brindle Paper Works", 1600.0, 30), ("Oxbow Cold Storage", 9400.0, 60), ("Tarn Optics", 840.0, 15)]
 
 
-def invoice_text(vendor="Acme Supplies Co.", number="INV-20001", date="2026-06-10", due="2026-07-10", po="PO-31644",
+def invoice_text(vendor="Brindle Paper Works", number="Q7-5001", date="2026-06-10", due="2026-07-10", po="B-88120",
                  subtotal=1500.37, tax=120.03, total=None, note=None):
     total = round(subtotal + tax, 2) if total is None else total
-    lines = [vendor, "1 Some Street", "----", "INVOICE", f"Invoice Number: {number}", f"Invoice Date: {date}",
-             f"Due Date: {due}", f"PO Number: {po}", "Payment Terms: NET30", "----", f"Subtotal: ${subtotal:,.2f}",
-             f"Tax (8%): ${tax:,.2f}", f"Total Amount Due: ${total:,.2f}"]
+    lines = [vendor, "Goods delivered to dock 4", f"Subtotal {subtotal:,.2f}", f"Tax {tax:,.2f}",
+             f"Total amount due {total:,.2f}", f"Due date - {due}", "Payment terms - NET30", f"Invoice date - {date}",
+             f"PO # {po}", f"Invoice # {number}"]
     return "\n".join(lines + ([note] if note else []))
 
 
+LIST = "pallet crate barrel drum sack\n" * 4
 DOCUMENTS = {
     "clean": invoice_text(),
-    "arithmetic": invoice_text(number="INV-20002", total=1870.40),
-    "due_first": invoice_text(number="INV-20003", due="2026-06-01"),
-    "future": invoice_text(number="INV-20004", date="2026-10-27", due="2026-11-26"),
-    "duplicate": invoice_text(number="INV-10001", subtotal=9000.11, tax=720.01),
-    "lookalike": invoice_text(vendor="Acme Suppiles Co.", number="INV-20005"),
+    "arithmetic": invoice_text(number="Q7-5002", total=1588.90),
+    "due_first": invoice_text(number="Q7-5003", due="2026-05-20"),
+    "future": invoice_text(number="Q7-5004", date="2026-11-03", due="2026-12-03"),
+    "duplicate": invoice_text(number="Q7-1", subtotal=9000.11, tax=720.01),
+    "lookalike": invoice_text(vendor="Brindle Papr Works", number="Q7-5005"),
     "missing": invoice_text(number="", po=""),
-    "conflict": invoice_text(number="INV-20006", note="Status: PAID IN FULL. Remaining Balance Due: $5"),
-    "round": invoice_text(number="INV-20007", subtotal=1500.0, tax=120.0),
-    "versions": invoice_text(number="INV-20008", note="draft of the final version"),
-    "unread": invoice_text(number="INV-20009", date="3O/13/2O26"),
-    "original": "alpha beta gamma delta epsilon\n" * 4 + invoice_text(number="INV-30001", po="PO-1", subtotal=1811.11),
-    "resubmitted": "alpha beta gamma delta epsilon\n" * 4
-                   + invoice_text(number="INV-30001-A", po="PO-1", subtotal=1811.11),
+    "conflict": invoice_text(number="Q7-5006", note="Booked as paid in full, yet the balance due is 5"),
+    "round": invoice_text(number="Q7-5007", subtotal=1500.0, tax=120.0),
+    "versions": invoice_text(number="Q7-5008", note="This draft stands in for the final sheet"),
+    "unread": invoice_text(number="Q7-5009", date="2026-XX-13"),
+    "original": LIST + invoice_text(number="Q7-6001", po="B-1", subtotal=1811.11),
+    "resubmitted": LIST + invoice_text(number="Q7-6001-R", po="B-1", subtotal=1811.11),
 }
 RULES = {
     "clean": [], "arithmetic": [("arithmetic", "high")], "due_first": [("date_logic", "high")],
@@ -55,8 +55,8 @@ def past_invoices():
         day = datetime.date(2024, 1, 2) + datetime.timedelta(days=3 * number)
         subtotal = round(float(mean * rng.normal(1, 0.15)), 2)
         tax = round(subtotal * 0.08, 2)
-        rows.append((f"INV-{10001 + number}", vendor, day, day + datetime.timedelta(days=days), f"NET{days}",
-                     f"PO-{20000 + number}", subtotal, tax, round(subtotal + tax, 2)))
+        rows.append((f"Q7-{number + 1}", vendor, day, day + datetime.timedelta(days=days), f"NET{days}",
+                     f"B-{20000 + number}", subtotal, tax, round(subtotal + tax, 2)))
     return rows
 
 
@@ -101,9 +101,9 @@ def test_rules_and_reasons(reports):
         partners = [x.message for x in rows[a].reasons if x.source == "similarity"]
         assert len(partners) == 1 and f"'{b}.txt'" in partners[0] and "100% similar" in partners[0]
     assert rows["duplicate"].risk_level == "High" and rows["arithmetic"].risk_level != "Low"
-    assert "difference of $250.00" in rows["arithmetic"].reasons[0].message
+    assert "difference of $31.50" in rows["arithmetic"].reasons[0].message
     assert rows["lookalike"].reasons[0].message.startswith(
-        "Vendor name 'Acme Suppiles Co.' is 94% similar to known vendor 'Acme Supplies Co.'")
+        "Vendor name 'Brindle Papr Works' is 97% similar to known vendor 'Brindle Paper Works'")
 
 
 def test_json_keeps_nulls(reports, spark, files):

@@ -6,6 +6,8 @@ import __spark_entry__ as entry
 from compare import difference, duck
 
 SF_DIR = "/root/testdata/sf0.001"
+#: The training-data queries have tests of their own.
+NAMES = [name for name in entry.queries() if name != "pipeline" and not (name.startswith("op") and name[2].isdigit())]
 
 
 @pytest.fixture(scope="module")
@@ -13,7 +15,7 @@ def connection():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, connection, name):
     rows = entry.queries()[name](spark, SF_DIR).toPandas()
     sql = entry.oracle_sql().get(name)
