@@ -18,13 +18,12 @@ def components(links: DataFrame, work: Workspace) -> DataFrame:
         F.col("a").alias("id"), F.least("a", "b").alias("class_id")))
     while True:
         near = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("class_id").alias("near"))
-        near = work.table(near)
         lower = work.table(labels.join(near, labels["id"] == near["a"]).select(
             "id", F.col("class_id").alias("before"), F.least("class_id", "near").alias("class_id")))
         onward = lower.select(F.col("id").alias("_id"), F.col("class_id").alias("_class_id"))
         jumped = work.table(lower.join(onward, lower["class_id"] == onward["_id"]).select(
             "id", "before", F.least("class_id", "_class_id").alias("class_id")))
-        work.drop(near, lower, labels)
+        work.drop(lower, labels)
         labels = jumped
         if labels.where("class_id < before").isEmpty():
             work.drop(both)

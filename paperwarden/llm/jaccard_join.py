@@ -10,9 +10,10 @@ A document's set holds the hashes of its distinct runs of ``SHINGLE`` words. Two
    belongs together, at a cost linear in the size of any crowd of copies.
 3. The token-group matrix holds, for each group, the union of its members' tokens, reduced to what a bound needs: by
    the prefix bound, sets of similarity t share a token among the first n - ceil(t * n) + 1 of either in any common
-   order. Tokens of a single component are left out, since they can only link what is linked already.
+   order. Tokens of a single document or component are left out, since they can link nothing that isn't linked.
 4. Tokens found in more than ``HOT_CLASSES`` components (passages that many documents share) come last in the
-   order. Documents that have too few other tokens in what was kept of them are read again with all their tokens.
+   order. Small documents are kept with all their tokens, others with some more than their prefix; those that have
+   too few other tokens nevertheless are read again with all their tokens.
 5. For each query group and each group of another component that shares prefix tokens the overlap is bounded by the
    tokens shared and the most that can follow. Only groups that can reach the threshold are opened: their texts
    are read and each query document is checked against the union of the group, then against its members.
@@ -42,6 +43,7 @@ PERCENT = 80
 GROUP = 32
 ORDERS = 3
 HOT_CLASSES = 24
+KEPT_WHOLE = 192
 #: Ids from here on stand for rows without one.
 NO_ID = 1 << 62
 
@@ -89,8 +91,8 @@ def _prefix_length(n: Column) -> Column:
 
 
 def _kept(n: int) -> int:
-    """Tokens kept of a set: its prefix and some to stand in for hot ones."""
-    return min(n, _prefix(n) + n // 10)
+    """Tokens kept of a set: its prefix and some to stand in for hot ones; all of a small set."""
+    return min(n, max(KEPT_WHOLE, _prefix(n) + n // 10))
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,36 +240,35 @@ def _groups(reps: DataFrame, texts: DataFrame, work: Workspace) -> DataFrame:
     return links
 
 
-def _matrix(units: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
-    """The token-group matrix over tokens of two or more components, and what is known of each token."""
-    rows = units.select("id", "n", "unit", "class_id", F.posexplode("pool").alias("place", "token"))
-    shared = work.table(rows.groupBy("token").agg(
-        F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low < high").select("token"))
-    matrix = work.table(rows.join(shared, "token"))
-    counts = matrix.groupBy("token", "class_id").agg(F.count(F.lit(1)).alias("rows"))
-    tokens = work.table(counts.groupBy("token").agg(F.count(F.lit(1)).alias("classes"),
-                                                    F.max_by("class_id", "rows").alias("main")))
-    work.drop(shared)
-    return matrix, tokens
+def _shared(rows: DataFrame, work: Workspace) -> DataFrame:
+    """The rows (token, id, place) whose token two or more documents have."""
+    often = work.table(rows.groupBy("token").agg(F.min("id").alias("low"), F.max("id").alias("high")).where(
+        "low < high").select("token"))
+    found = work.table(rows.join(often, "token"))
+    work.drop(often)
+    return found
 
 
-def _hot_places(matrix: DataFrame, tokens: DataFrame, work: Workspace) -> DataFrame:
-    """Per document, its hot tokens (classes, token, place), rarest first."""
-    hot = matrix.join(tokens.where(F.col("classes") > HOT_CLASSES), "token")
-    return work.table(hot.groupBy("id").agg(F.sort_array(F.collect_list(
-        F.struct("classes", "token", "place"))).alias("hot")))
+def _crossing(matrix: DataFrame, info: DataFrame, work: Workspace) -> DataFrame:
+    """The token-group matrix over tokens of two or more components: with the group and component of each row, and
+    the number of components and the component of most rows of each token."""
+    named = work.table(matrix.join(info.select("id", "unit", "class_id"), "id"))
+    counts = named.groupBy("token", "class_id").agg(F.count(F.lit(1)).alias("rows"))
+    tokens = work.table(counts.groupBy("token").agg(
+        F.count(F.lit(1)).alias("classes"), F.max_by("class_id", "rows").alias("main")).where("classes > 1"))
+    crossing = work.table(named.join(tokens, "token"))
+    work.drop(named, tokens)
+    return crossing
 
 
-def _candidates(units: DataFrame, matrix: DataFrame, tokens: DataFrame, hot: DataFrame, work: Workspace) -> DataFrame:
+def _candidates(info: DataFrame, crossing: DataFrame, hot: DataFrame, work: Workspace) -> DataFrame:
     """Pairs of groups (unit_a, unit_b) of different components that the bound lets through."""
-    sizes = units.select("id", "size", "prefix", F.when(F.size("pool") >= F.col("prefix"), F.element_at(
-        "pool", F.col("prefix").cast("int"))).alias("end"))
-    known = work.table(sizes.join(hot, "id", "left"))
-    rows = matrix.join(tokens, "token").join(known, "id")
-    is_hot = F.col("classes") > HOT_CLASSES
+    known = work.table(info.select("id", "n", "size", "prefix", "end").join(hot, "id", "left"))
+    rows = crossing.join(known, "id")
     hot_before = F.when(F.col("hot").isNull(), 0).otherwise(F.size(F.filter("hot", lambda h: h["place"] < F.col("place"))))
     among_hot = F.size(F.filter("hot", lambda h: F.struct(h["classes"], h["token"]) < F.struct("classes", "token")))
-    rank = F.when(is_hot, F.col("n") - F.size("hot") + among_hot).otherwise(F.col("place") - hot_before)
+    rank = F.when(F.col("classes") > HOT_CLASSES, F.col("n") - F.size("hot") + among_hot).otherwise(
+        F.col("place") - hot_before)
     rows = rows.withColumn("rank", rank).where(F.col("rank") < F.col("prefix"))
     single = F.col("size") == 1
     entries = work.table(rows.groupBy("token", "unit", "class_id", "main").agg(
@@ -306,40 +307,55 @@ def _row_classes(docs: DataFrame, id_col: str, text_col: str, work: Workspace) -
     reps = work.table(sketch.join(firsts.withColumnRenamed("first", "id"), ["sig_a", "sig_b", "id"], "left_semi")
                       .dropDuplicates(["sig_a", "sig_b", "id"]))
     work.drop(sketch)
-
-    inside = _groups(reps, texts, work)
+    prefix = _prefix_length(F.col("n"))
+    narrow = work.table(reps.select("id", "sig_a", "n", *[f"least_{r}" for r in range(ORDERS)],
+                                    F.size("pool").cast("long").alias("kept"), prefix.alias("prefix"),
+                                    F.element_at("pool", prefix.cast("int")).alias("end")))
+    kept = reps.select("id", F.posexplode("pool").alias("place", "token"))
+    matrix = _shared(kept, work)
+
+    active = matrix.select("id").distinct()
+    inside = _groups(narrow.join(active, "id", "left_semi"), texts, work)
     links = inside.select(F.col("id").alias("a"), F.col("leader").alias("b"))
     classes = components(links, work)
     leaders = inside.where("r = 0").select("id", F.col("leader").alias("unit"))
     members = work.table(leaders.unionByName(leaders.select(F.col("unit").alias("id"), "unit").distinct()))
-    member_count = members.groupBy("unit").agg(F.count(F.lit(1)).alias("size"))
-    named = work.table(members.join(member_count, "unit"))
-    units = reps.select("id", "sig_a", "n", "pool").join(classes, "id", "left").join(named, "id", "left").select(
-        "id", "sig_a", "n", "pool", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("unit", "id").alias("unit"),
-        F.coalesce("size", F.lit(1)).alias("size"), _prefix_length(F.col("n")).alias("prefix"))
-    units = work.table(units)
-    work.drop(reps, members, named)
+    units = members.join(members.groupBy("unit").agg(F.count(F.lit(1)).alias("size")), "unit")
+    info = work.table(narrow.join(classes, "id", "left").join(units, "id", "left").select(
+        "id", "sig_a", "n", "kept", "prefix", "end", F.coalesce("class_id", "id").alias("class_id"),
+        F.coalesce("unit", "id").alias("unit"), F.coalesce("size", F.lit(1)).alias("size")))
+    work.drop(narrow, members)
 
     while True:
-        matrix, tokens = _matrix(units, work)
-        hot = _hot_places(matrix, tokens, work)
-        short = work.table(units.where(F.size("pool") < F.col("n")).join(hot, "id").where(
-            F.size("pool") - F.size("hot") < F.col("prefix")).select("id", "sig_a"))
+        crossing = _crossing(matrix, info, work)
+        hot = work.table(crossing.where(F.col("classes") > HOT_CLASSES).groupBy("id").agg(F.sort_array(
+            F.collect_list(F.struct("classes", "token", "place"))).alias("hot")))
+        short = work.table(info.where("kept < n").join(hot, "id").where(
+            F.col("kept") - F.size("hot") < F.col("prefix")).select("id", "sig_a", "kept"))
         if short.isEmpty():
             break
-        whole = work.table(texts.join(short, "id").select("id", "sig_a", "text").mapInArrow(
-            _all_tokens, "id bigint, pool array<bigint>").dropDuplicates(["id"]))
-        longer = units.join(whole.select("id", F.col("pool").alias("all")), "id", "left")
-        before, units = units, work.table(longer.withColumn("pool", F.coalesce("all", "pool")).drop("all"))
-        work.drop(before, matrix, tokens, hot, short, whole)
-
-    opened = _candidates(units, matrix, tokens, hot, work)
+        whole = texts.join(short.select("id", "sig_a"), "id").select("id", "sig_a", "text").mapInArrow(
+            _all_tokens, "id bigint, pool array<bigint>").dropDuplicates(["id"])
+        more = whole.join(short.select("id", "kept"), "id").select(
+            "id", "kept", F.posexplode("pool").alias("place", "token")).where("place >= kept").drop("kept")
+        more = work.table(more)
+        met = kept.join(work.table(more.select("token").distinct()), "token", "left_semi")
+        longer = _shared(work.table(met.unionByName(more)), work)
+        kept = kept.unionByName(more)
+        before, matrix = matrix, work.table(matrix.unionByName(longer.select(*matrix.columns)).distinct())
+        grown = info.join(short.select("id", F.lit(True).alias("grown")), "id", "left").withColumn(
+            "kept", F.when(F.col("grown"), F.col("n")).otherwise(F.col("kept"))).drop("grown")
+        old, info = info, work.table(grown)
+        work.drop(before, longer, short, hot, crossing, old)
+
+    opened = _candidates(info, crossing, hot, work)
     in_pair = opened.select("unit_a", "unit_b", F.explode(F.array("unit_a", "unit_b")).alias("unit"))
-    asked = work.table(in_pair.join(units.select("unit", "id", "sig_a"), "unit"))
+    asked = work.table(in_pair.join(info.select("unit", "id", "sig_a"), "unit"))
     read = texts.join(asked, "id").select("unit_a", "unit_b", "unit", "id", "sig_a", "text")
-    across = read.groupBy("unit_a", "unit_b").applyInArrow(_open_pair, "a bigint, b bigint")
-    classes = components(work.table(links.unionByName(across)), work)
-    work.drop(units, matrix, tokens, hot)
+    across = work.table(read.groupBy("unit_a", "unit_b").applyInArrow(_open_pair, "a bigint, b bigint"))
+    work.drop(matrix, crossing, hot, reps, asked)
+    if not across.isEmpty():
+        classes = components(links.unionByName(across), work)
 
     named = rows.join(firsts, ["sig_a", "sig_b"], "left").join(
         classes.select(F.col("id").alias("first"), "class_id"), "first", "left")

@@ -1,5 +1,5 @@
 import plain
-from pyspark.sql import functions as F
+import pytest
 
 from paperwarden.llm import jaccard_join, sentence_spans
 from paperwarden.llm.batches import WordHashes
@@ -24,7 +24,10 @@ def crowded_rows():
     return [(3 * i + 1, t) for i, t in enumerate(texts)]
 
 
-def test_join_against_all_pairs(spark):
+@pytest.mark.parametrize("kept_whole, hot_classes", [(jaccard_join.KEPT_WHOLE, jaccard_join.HOT_CLASSES), (0, 3)])
+def test_join_against_all_pairs(spark, monkeypatch, kept_whole, hot_classes):
+    monkeypatch.setattr(jaccard_join, "KEPT_WHOLE", kept_whole)
+    monkeypatch.setattr(jaccard_join, "HOT_CLASSES", hot_classes)
     rows = crowded_rows()
     found = jaccard_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(6))
     assert sorted(map(tuple, found.collect())) == sorted(plain.classes(rows))
