@@ -389,11 +389,13 @@ def oracle_sql() -> dict[str, str]:
             FROM unit a JOIN unit b ON a.term = b.term AND a.group_id < b.group_id
             GROUP BY a.group_id, b.group_id
             HAVING sum(a.weight * b.weight) * any_value(a.best_rho) * any_value(b.best_rho) >= 0.92""",
-        "near_dup_reasons": f"""WITH {PAIRS}, counted AS (
-              SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM both_ways)
-            SELECT doc_id, n AS n_partners, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY partner) - 1 AS INT)
-              AS reason_no, {_message("near_duplicate", percent="format('{:.0f}', similarity * 100)",
-                                      other="CAST(partner AS VARCHAR)")} AS message FROM counted""",
+        "near_dup_reasons": f"""WITH {PAIRS}, ranked AS (
+              SELECT *, count(*) OVER (PARTITION BY doc_id) AS n, row_number() OVER (
+                PARTITION BY doc_id ORDER BY round(similarity, 9) DESC, partner) AS place FROM both_ways)
+            SELECT doc_id, n AS n_partners, 0::INT AS reason_no, {_message(
+                "near_duplicate", percent="format('{:.0f}', similarity * 100)", other="CAST(partner AS VARCHAR)")}
+              || CASE WHEN n > 1 THEN ' ' || {_message("near_duplicate_count", count="CAST(n AS VARCHAR)")}
+                 ELSE '' END AS message FROM ranked WHERE place = 1""",
         "text_sources": """SELECT doc_id, md5(regexp_replace(text, '\\r\\n?', chr(10), 'g')) AS digest,
             length(text) AS text_length,
             round(coalesce(length(regexp_replace(text, '[^0-9]', '', 'g')) / nullif(length(text), 0), 0.0), 6)

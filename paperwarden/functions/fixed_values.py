@@ -119,8 +119,7 @@ MESSAGES = {
     "pattern_deviation": "{explanation} (observed value: {value}, contribution to anomaly score: {contribution})",
     "near_duplicate": "Content is {percent}% similar to another document in this batch ('{other}') "
                       "— possible duplicate submission.",
-    "near_duplicate_many": "Content is at least {percent}% similar to {count} other documents in this batch "
-                           "— possible duplicate submission.",
+    "near_duplicate_count": "It is the closest of {count} such documents.",
     "clean": "No inconsistencies detected; document is consistent with historical patterns.",
 }
 
