@@ -10,7 +10,9 @@ Pairs are found without comparing every name with every vendor. A ratio of at le
   because an unmatched letter breaks two grams and an insertion one. So a known name may
   leave out all but its (grams - shared + 1) rarest grams and still meets every match.
 
-The bounds are ordinary join and filter conditions; only pairs that can still win reach Python.
+The bounds are ordinary join and filter conditions, applied before a pair is written; only pairs that can still win
+reach Python. The search goes down in levels: a name with a match at a level is done, since no lower pair can beat
+it, and only the others go on to the next level, where the bounds are wider.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from ..functions.fixed_values import VENDOR_SIMILARITY_HIGH, VENDOR_SIMILARITY_L
 from .scale import broadcast_if_small, materialise
 
 SALTS = 16
+LEVELS = (0.97, 0.94, 0.90, 0.85)
 _ROUNDING = 1e-9
 
 
@@ -54,8 +57,11 @@ def gram_index(known: DataFrame, low: float = VENDOR_SIMILARITY_LOW) -> DataFram
         "known_vendor", "known_lower")
 
 
-def _candidates(names: DataFrame, index: DataFrame, small: bool, low: float) -> DataFrame:
-    """(vendor_name, lower_name, known_vendor, known_lower, bound): each pair within the bounds once."""
+def _candidates(names: DataFrame, index: DataFrame, small: bool, low: float, longest: int) -> DataFrame:
+    """(vendor_name, lower_name, known_vendor, known_lower, bound): each pair within the bounds once.
+
+    ``longest`` is the largest sum of two lengths; the edit distance stops counting beyond what it allows.
+    """
     grams = names.select("*", F.explode_outer(F.array_distinct(_grams(F.col("lower_name")))).alias("gram"))
     if small:
         pairs = grams.join(F.broadcast(index), "gram")
@@ -67,7 +73,9 @@ def _candidates(names: DataFrame, index: DataFrame, small: bool, low: float) ->
     total = la + lb
     pairs = pairs.where(2 * F.least(la, lb) >= low * total - _ROUNDING)
     pairs = pairs.select("vendor_name", "lower_name", "known_vendor", "known_lower").distinct()
-    return pairs.withColumn("bound", 1.0 - F.levenshtein("lower_name", "known_lower") / total)
+    edits = F.levenshtein("lower_name", "known_lower", math.floor((1.0 - low) * longest + 1))
+    pairs = pairs.withColumn("edits", edits).where("edits >= 0").withColumn("bound", 1.0 - F.col("edits") / total)
+    return pairs.where(F.col("bound") >= low - _ROUNDING).drop("edits")
 
 
 @F.pandas_udf(T.DoubleType())
@@ -83,19 +91,31 @@ def closest_vendors(names: DataFrame, known: DataFrame, low: float = VENDOR_SIMI
     if not 2 / 3 < low <= 1:
         raise ValueError("low must be above 2/3 and at most 1")
     known = known.select("vendor_name").where(F.length("vendor_name") > 0)
-    shortest, longest = known.agg(F.min(F.length(F.lower("vendor_name"))),
-                                  F.max(F.length(F.lower("vendor_name")))).first()
-    reach = low / (2.0 - low)
-    shortest, longest = math.floor((shortest or 0) * reach), math.ceil((longest or 0) / reach)
     unknown = (names.select("vendor_name").where(F.length("vendor_name") > 0).distinct()
                .join(known, "vendor_name", "left_anti")
-               .select("vendor_name", F.lower("vendor_name").alias("lower_name"))
-               .where(F.length("lower_name").between(shortest, longest)))
+               .select("vendor_name", F.lower("vendor_name").alias("lower_name")))
     # Few names may still mean many pairs, so they are spread over all cores.
     unknown = materialise(unknown.repartition(unknown.sparkSession.sparkContext.defaultParallelism))
+    found = None
+    for level in [*(x for x in LEVELS if x > low), low]:
+        matched = materialise(_matches(unknown, known, level))
+        found = matched if found is None else found.unionByName(matched)
+        unknown = materialise(unknown.join(matched, "vendor_name", "left_anti"))
+        if unknown.isEmpty():
+            break
+    return found
+
+
+def _matches(unknown: DataFrame, known: DataFrame, low: float) -> DataFrame:
+    """The best match of every unknown name that has one of at least ``low``."""
+    shortest, longest = known.agg(F.min(F.length(F.lower("vendor_name"))),
+                                  F.max(F.length(F.lower("vendor_name")))).first()
+    reach = low / (2.0 - low)
+    least, most = math.floor((shortest or 0) * reach), math.ceil((longest or 0) / reach)
+    unknown = unknown.where(F.length("lower_name").between(least, most))
     index = materialise(gram_index(known, low))
     small = broadcast_if_small(index) is not index
-    pairs = materialise(_candidates(unknown, index, small, low)).where(F.col("bound") >= low - _ROUNDING)
+    pairs = materialise(_candidates(unknown, index, small, low, most + (longest or 0)))
 
     # The pair with the best upper bound first; its true ratio rules out most other pairs.
     first = pairs.groupBy("vendor_name", "lower_name").agg(
