@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
-from fixtures import invoice_tables as tables  # noqa: E402
+from fixtures import invoice_tables as tables, small_forest  # noqa: E402
 from paperwarden.functions.fixed_values import FEATURE_NAMES  # noqa: E402
 from paperwarden.functions.text import digit_count  # noqa: E402
-from paperwarden.operators import (baseline, extract, features, neardup, percentiles, profiles, reasons,  # noqa: E402
-                                   rules, scaling, vendors)
+from paperwarden.operators import (baseline, extract, features, forest, neardup, percentiles, profiles,  # noqa: E402
+                                   reasons, rules, scaling, vendors)
 from paperwarden.operators.scale import materialise  # noqa: E402
 from paperwarden.plans import pipeline  # noqa: E402
 from paperwarden.sources.documents import normalise_text, rejects  # noqa: E402
@@ -66,8 +66,7 @@ def _new_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The text table; the test files hold one row group, so it is spread over the cores."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(spark.sparkContext.defaultParallelism)
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def _fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,6 +251,30 @@ def attributions(spark, sf_dir):
         F.round("f.contribution", ROUNDED).alias("contribution"))
 
 
+@functools.lru_cache(maxsize=4)
+def _small_forest(spark: SparkSession, sf_dir: str) -> forest.ForestModel:
+    """A forest written by hand, with the scores of the history as its reference."""
+    model = forest.ForestModel(FEATURE_NAMES, small_forest.node_table(), small_forest.SUBSAMPLE, small_forest.MEDIANS)
+    model.reference = percentiles.fit_reference(model.score_only(_history_features(spark, sf_dir)))
+    return model
+
+
+def _small_forest_scored(spark, sf_dir):
+    fields = extract.extract_fields(_new_invoices(spark, sf_dir)).drop("raw_text")
+    return _small_forest(spark, sf_dir).score(features.add_features(fields, _baseline(spark, sf_dir)))
+
+
+def fixed_forest_scores(spark, sf_dir):
+    return _small_forest_scored(spark, sf_dir).select(
+        "doc_id", F.round("score", ROUNDED).alias("score"), F.round("percentile", ROUNDED).alias("percentile"))
+
+
+def fixed_forest_attributions(spark, sf_dir):
+    return _small_forest_scored(spark, sf_dir).select("doc_id", F.posexplode("top_features").alias("place", "f")).select(
+        "doc_id", "place", "f.feature", (F.round("f.value", ROUNDED) + 0.0).alias("value"),
+        (F.round("f.contribution", ROUNDED) + 0.0).alias("contribution"))
+
+
 def _total_percentiles(spark, sf_dir, scored: DataFrame) -> DataFrame:
     reference = percentiles.fit_reference(tables.history(spark, sf_dir), "total_amount")
     return percentiles.add_percentiles(scored, reference)
@@ -337,7 +360,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "vendor_lookalikes": vendor_lookalikes, "flags_long": flags_long, "flag_counts": flag_counts,
         "tfidf_weights": tfidf_weights, "near_duplicates": near_duplicates, "near_dup_groups": near_dup_groups,
         "near_dup_links": near_dup_links, "near_dup_reasons": near_dup_reasons,
-        "forest_scores": forest_scores, "attributions": attributions, "percentiles": score_percentiles,
+        "forest_scores": forest_scores, "attributions": attributions,
+        "fixed_forest_scores": fixed_forest_scores, "fixed_forest_attributions": fixed_forest_attributions,
+        "percentiles": score_percentiles,
         "ml_reasons": ml_reasons, "risk_levels": risk_levels, "combined_risk": combined_risk,
         "reasons": reason_rows, "rule_report": rule_report, "summary_lines": summary_lines,
         "detection_table": detection_table, "full_report": full_report,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fixtures import invoice_tables
+from fixtures import invoice_tables, small_forest
 from paperwarden.functions import fixed_values as fv
 
 KINDS = "[" + ",".join(f"'{kind}'" for kind in invoice_tables.KINDS) + "]"
@@ -303,8 +303,29 @@ grouped AS (
   FROM placed)"""
 
 
+NUMBERED = ", ".join(f"coalesce(zscore, 0.0) AS x{i}" if n == "amount_zscore_vs_vendor" else f"{n} AS x{i}"
+                     for i, n in enumerate(fv.FEATURE_NAMES))
+SMALL_FOREST = DOC_FEATURES + ", past_features AS (" + _features(
+    "history", "d.invoice_number",
+    "(d.vendor_name || ' ' || d.invoice_number || ' ' || CAST(d.total_amount AS VARCHAR))",
+    "d.invoice_date", "d.due_date") + f"""),
+numbered AS (SELECT doc_id, {NUMBERED} FROM features),
+scored AS (SELECT *, {small_forest.score_sql()} AS score FROM numbered),
+past_scores AS (SELECT score, count(*) AS n FROM (
+  SELECT {small_forest.score_sql()} AS score FROM (SELECT {NUMBERED} FROM past_features)) GROUP BY score)"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
+        "fixed_forest_scores": f"""WITH {SMALL_FOREST} SELECT doc_id, round(score, 6) AS score, round(
+            (SELECT coalesce(sum(n), 0) FROM past_scores p WHERE p.score < s.score)::DOUBLE
+            / (SELECT sum(n) FROM past_scores)::DOUBLE * 100.0::DOUBLE, 6) AS percentile FROM scored s""",
+        "fixed_forest_attributions": f"""WITH {SMALL_FOREST}, listed AS (
+              SELECT doc_id, {small_forest.attributions_sql()}[1:3] AS top FROM scored)
+            SELECT doc_id, place::INT AS place, top[place + 1].feature AS feature,
+              round(top[place + 1].value, 6) + 0.0::DOUBLE AS value,
+              round(top[place + 1].contribution, 6) + 0.0::DOUBLE AS contribution
+            FROM (SELECT *, unnest(range(3)) AS place FROM listed)""",
         "extract_fields": f"""WITH {FIELDS} SELECT doc_id, vendor_name, invoice_number_raw, po_number_raw,
             payment_terms_raw, invoice_date_raw, due_date_raw, subtotal_raw, tax_raw, total_amount_raw FROM fields""",
         "extract_phrases": f"""WITH {FIELDS} SELECT doc_id, mentions_paid_in_full, mentions_balance_due,

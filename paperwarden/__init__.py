@@ -9,6 +9,7 @@ from .operators.extract import extract_fields
 from .operators.forest import fit_forest
 from .operators.neardup import find_near_duplicates, partner_summary, partners_of
 from .operators.reasons import by_risk, detection_table, summary_lines
+from .operators.scale import temporary_workspace
 from .plans.pipeline import DocumentModel, fit
 from .sources.documents import read_documents, read_rejects
 from .sources.history import read_history, read_labels
@@ -18,7 +19,7 @@ from .streaming.scoring import score_stream
 __all__ = [
     "DocumentModel", "by_risk", "detection_table", "extract_fields", "find_near_duplicates", "fit", "fit_baseline",
     "fit_forest", "partner_summary", "partners_of", "read_documents", "read_history", "read_labels",
-    "read_rejects", "score_stream", "summary_lines", "write_report",
+    "read_rejects", "score_stream", "summary_lines", "temporary_workspace", "write_report",
 ]
 
 # Functions sent to executors are pickled by value, so they need no installed copy of this package.

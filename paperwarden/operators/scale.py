@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -14,27 +15,18 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``, else that of the context.
 
-    Only where neither is set, as in a local test, a temporary folder of this machine is used.
+    Only where neither is set and driver and executors are one process, a temporary folder of this machine is used.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="paperwarden-")
         context.setCheckpointDir(named)
     return named.rstrip("/")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as a table in the shared folder and go on from its files.
-
-    Lost executors then cost no more than the running step, later readers take only the
-    columns they need, and joins know the real size.
-    """
-    path = f"{shared_folder(df.sparkSession)}/paperwarden-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -57,26 +49,30 @@ class Workspace:
     read must stay. The first table with rows shows whether the folder is shared: all rows written must be found.
     """
 
+    _proven: set[tuple[str, str]] = set()
+
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.path = f"{shared_folder(spark)}/paperwarden-{uuid.uuid4().hex}"
+        self._folder = (spark.sparkContext.applicationId, shared_folder(spark))
+        self.path = f"{self._folder[1]}/paperwarden-{uuid.uuid4().hex}"
         self._written = 0
-        self._proven = False
 
     def table(self, df: DataFrame) -> DataFrame:
         """Write ``df`` once and go on from its files."""
         path = f"{self.path}/{self._written}"
         self._written += 1
         counted = Observation()
-        rows = df if self._proven else df.observe(counted, F.count(F.lit(1)).alias("rows"))
+        proven = self._folder in self._proven
+        rows = df if proven else df.observe(counted, F.count(F.lit(1)).alias("rows"))
         with shuffles_removed(self.spark):
             rows.write.parquet(path)
         table = self.spark.read.schema(df.schema).parquet(path)
-        if not self._proven:
+        if not proven:
             wrote, found = counted.get["rows"], table.count()
             if wrote != found:
-                raise OSError(f"{path}: {wrote} rows written, {found} found; is {shared_folder(self.spark)} shared?")
-            self._proven = wrote > 0
+                raise OSError(f"{path}: {wrote} rows written, {found} found; is {self._folder[1]} shared?")
+            if wrote:
+                self._proven.add(self._folder)
         table.written_to = path
         return table
 
@@ -92,6 +88,30 @@ class Workspace:
         place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+_current: ContextVar[Workspace | None] = ContextVar("workspace", default=None)
+
+
+@contextlib.contextmanager
+def temporary_workspace(spark: SparkSession):
+    """All tables that operators write inside are removed at the end; write the results out before."""
+    work = Workspace(spark)
+    before = _current.set(work)
+    try:
+        yield work
+    finally:
+        _current.reset(before)
+        work.close()
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as a table in the shared folder and go on from its files.
+
+    Lost executors then cost no more than the running step, later readers take only the columns they need, and
+    joins know the real size. Inside ``temporary_workspace`` the table is removed with it, else it stays.
+    """
+    return (_current.get() or Workspace(df.sparkSession)).table(df)
+
+
 def size_in_bytes(df: DataFrame) -> int:
     """Row widths of ``df`` added up: 16 bytes a value plus the length of its strings."""
     width = F.lit(16 * len(df.columns)).cast("long")

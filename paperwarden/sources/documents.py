@@ -17,8 +17,10 @@ def base_name(path: Column) -> Column:
 
 
 def normalise_text(raw: Column) -> Column:
-    """Bytes that are not UTF-8 dropped, every line end as one newline."""
-    valid = F.when(F.is_valid_utf8(raw), raw).otherwise(F.replace(F.make_valid_utf8(raw), F.lit("�"), F.lit("")))
+    """Bytes that are not UTF-8 dropped, every line end as one newline; replacement signs of the text itself stay."""
+    sign, held = F.lit("\ufffd"), F.lit("\ufdd0\ufdd1")
+    mended = F.replace(F.make_valid_utf8(F.replace(raw, sign, held)), sign, F.lit(""))
+    valid = F.when(F.is_valid_utf8(raw), raw).otherwise(F.replace(mended, held, sign))
     return F.regexp_replace(valid, "\r\n?", "\n")
 
 

@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.scale import temporary_workspace
 from ..plans.pipeline import DocumentModel
 
 
@@ -17,12 +18,13 @@ def score_stream(docs: DataFrame, model: DocumentModel, reference_date: datetime
 
     A batch writes its own folder and a retried batch replaces it, so results appear once.
     Documents need nothing from earlier batches; near-duplicates, if asked for, are those
-    inside a micro-batch.
+    inside a micro-batch. Intermediate tables of a batch are removed when it is written.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        reports = model.score(batch, reference_date, near_duplicates=near_duplicates)
-        (reports.write.mode("overwrite").option("ignoreNullFields", False)
-         .json(f"{path}/batch={batch_id}"))
+        with temporary_workspace(batch.sparkSession):
+            reports = model.score(batch, reference_date, near_duplicates=near_duplicates)
+            (reports.write.mode("overwrite").option("ignoreNullFields", False)
+             .json(f"{path}/batch={batch_id}"))
 
     writer = docs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_location)
     if available_now:
