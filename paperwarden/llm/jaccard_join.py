@@ -261,39 +261,51 @@ def _crossing(matrix: DataFrame, info: DataFrame, work: Workspace) -> DataFrame:
     return crossing
 
 
+def _prefix_ends(reps: DataFrame, info: DataFrame, hot: DataFrame, work: Workspace) -> DataFrame:
+    """(id, hot, end): the last token of the prefix of documents with hot tokens, if all of the prefix is cool."""
+    asked = hot.join(info.select("id", "prefix"), "id")
+    cool = F.array_except("pool", F.transform("hot", lambda h: h["token"]))
+    return work.table(reps.select("id", "pool").join(work.table(asked), "id").select(
+        "id", "hot", F.when(F.size(cool) >= F.col("prefix"), F.element_at(cool, F.col("prefix").cast("int"))).alias("cool_end")))
+
+
 def _candidates(info: DataFrame, crossing: DataFrame, hot: DataFrame, work: Workspace) -> DataFrame:
-    """Pairs of groups (unit_a, unit_b) of different components that the bound lets through."""
-    known = work.table(info.select("id", "n", "size", "prefix", "end").join(hot, "id", "left"))
+    """(id, unit_a, unit_b): documents and the groups of other components that their bound lets through.
+
+    ``hot`` is the table of ``_prefix_ends``. Up to the end of its prefix a document's tokens are known to be in the
+    union of a group whose members' prefixes reach as far, or in none of its members.
+    """
+    known = work.table(info.select("id", "n", "size", "prefix", "end").join(hot, "id", "left").withColumn(
+        "end", F.when(F.col("hot").isNull(), F.col("end")).otherwise(F.col("cool_end"))).drop("cool_end"))
     rows = crossing.join(known, "id")
     hot_before = F.when(F.col("hot").isNull(), 0).otherwise(F.size(F.filter("hot", lambda h: h["place"] < F.col("place"))))
     among_hot = F.size(F.filter("hot", lambda h: F.struct(h["classes"], h["token"]) < F.struct("classes", "token")))
     rank = F.when(F.col("classes") > HOT_CLASSES, F.col("n") - F.size("hot") + among_hot).otherwise(
         F.col("place") - hot_before)
-    rows = rows.withColumn("rank", rank).where(F.col("rank") < F.col("prefix"))
-    single = F.col("size") == 1
-    entries = work.table(rows.groupBy("token", "unit", "class_id", "main").agg(
-        F.max("size").alias("size"), F.max("rank").alias("rank"), F.max("n").alias("n"), F.max("prefix").alias("prefix"),
-        F.max(F.when(F.col("hot").isNull() & single, F.col("end"))).alias("end")))
+    rows = work.table(rows.withColumn("rank", rank).where(F.col("rank") < F.col("prefix")).drop("hot", "classes", "place"))
+    groups = work.table(rows.groupBy("token", "unit", "class_id", "main").agg(
+        F.max("size").alias("members"), F.min("n").alias("least_n"), F.max("n").alias("most_n"),
+        F.when(F.count("end") == F.count(F.lit(1)), F.min("end")).alias("end")))
     work.drop(known)
-    a, b = (entries.select("token", *[F.col(c).alias(f"{c}_{s}") for c in (
-        "unit", "class_id", "main", "size", "rank", "n", "prefix", "end")]) for s in "ab")
-    met = a.where("class_id_a <> main_a").join(b, "token").where(
-        "class_id_a <> class_id_b AND (class_id_b = main_b OR unit_a < unit_b)")
-    one = "unit_a < unit_b"
-    pairs = met.groupBy(
-        F.expr(f"if({one}, unit_a, unit_b)").alias("unit_a"), F.expr(f"if({one}, unit_b, unit_a)").alias("unit_b")).agg(
-        F.count(F.lit(1)).alias("shared"),
-        *[F.max(F.expr(f"if({one}, {c}_{s}, {c}_{t})")).alias(f"{c}_{s}") for c in ("size", "rank", "n", "prefix", "end")
-          for s, t in ("ab", "ba")])
-    # What can still follow: nothing of the set that ends its prefix first, up to there.
-    left_a = F.expr("if(end_a <= end_b, n_a - prefix_a, n_a - 1 - rank_a)")
-    left_b = F.expr("if(end_b <= end_a, n_b - prefix_b, n_b - 1 - rank_b)")
-    most = F.col("shared") + F.least(left_a, left_b)
-    sizes_fit = (100 * F.col("n_a") >= PERCENT * F.col("n_b")) & (100 * F.col("n_b") >= PERCENT * F.col("n_a"))
-    reach = (100 + PERCENT) * most >= PERCENT * (F.col("n_a") + F.col("n_b"))
-    found = work.table(pairs.where((F.col("size_a") > 1) | (F.col("size_b") > 1) | (sizes_fit & reach)).select(
-        "unit_a", "unit_b"))
-    work.drop(entries)
+    a = rows.where("class_id <> main").select("token", "id", F.col("unit").alias("unit_a"), F.col("class_id").alias(
+        "class_a"), "rank", "n", "prefix", F.col("end").alias("end_a"))
+    b = groups.select("token", F.col("unit").alias("unit_b"), F.col("class_id").alias("class_b"), "main", "members",
+                      "least_n", "most_n", F.col("end").alias("end_b"))
+    met = a.join(b, "token").where("class_a <> class_b AND (class_b = main OR unit_a < unit_b)")
+    pairs = met.groupBy("id", "unit_a", "unit_b").agg(
+        F.count(F.lit(1)).alias("shared"), F.min("rank").alias("low_rank"), F.max("rank").alias("rank"),
+        F.max("members").alias("members"), F.first("n").alias("n"),
+        F.first("prefix").alias("prefix"), F.first("end_a").alias("end_a"), F.min("least_n").alias("least_n"),
+        F.max("most_n").alias("most_n"), F.when(F.count("end_b") == F.count(F.lit(1)), F.min("end_b")).alias("end_b"))
+    # What may follow the shared tokens: the rest behind the prefix, or else behind the last token shared with the
+    # only member; with several members the last one shared with any of them is only known to be some shared token.
+    most = F.col("shared") + F.expr("if(end_a <= end_b, n - prefix, n - 1 - if(members = 1, rank, low_rank))")
+    other = F.greatest(100 * F.col("least_n"), PERCENT * F.col("n"))
+    fit = 100 * F.col("most_n") >= PERCENT * F.col("n")
+    reach = (100 + PERCENT) * 100 * most >= PERCENT * (100 * F.col("n") + other)
+    found = work.table(pairs.where(fit & reach & (PERCENT * F.col("least_n") <= 100 * F.col("n"))).select(
+        "id", "unit_a", "unit_b"))
+    work.drop(rows, groups)
     return found
 
 
@@ -348,12 +360,18 @@ def _row_classes(docs: DataFrame, id_col: str, text_col: str, work: Workspace) -
         old, info = info, work.table(grown)
         work.drop(before, longer, short, hot, crossing, old)
 
-    opened = _candidates(info, crossing, hot, work)
-    in_pair = opened.select("unit_a", "unit_b", F.explode(F.array("unit_a", "unit_b")).alias("unit"))
-    asked = work.table(in_pair.join(info.select("unit", "id", "sig_a"), "unit"))
+    ends = _prefix_ends(reps, info, hot, work)
+    work.drop(matrix, reps)
+    opened = _candidates(info, crossing, ends, work)
+    work.drop(crossing, hot, ends)
+    queries = opened.select("unit_a", "unit_b", F.col("unit_a").alias("unit"), "id")
+    others = opened.select("unit_a", "unit_b").distinct().join(
+        info.select(F.col("unit").alias("unit_b"), F.col("id")), "unit_b").select(
+        "unit_a", "unit_b", F.col("unit_b").alias("unit"), "id")
+    asked = work.table(queries.unionByName(others).join(info.select("id", "sig_a"), "id"))
     read = texts.join(asked, "id").select("unit_a", "unit_b", "unit", "id", "sig_a", "text")
     across = work.table(read.groupBy("unit_a", "unit_b").applyInArrow(_open_pair, "a bigint, b bigint"))
-    work.drop(matrix, crossing, hot, reps, asked)
+    work.drop(asked)
     if not across.isEmpty():
         classes = components(links.unionByName(across), work)
 
