@@ -62,7 +62,7 @@ def shingles(text: str | None, hashes: WordHashes) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, np.int64)
-    word = np.fromiter((hashes[w] for w in words), np.uint64, len(words))
+    word = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     length = min(SHINGLE, len(words))
     rolling = np.full(len(words) - length + 1, length, np.uint64)
     for i in range(length):
@@ -168,9 +168,9 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return np.rint(held @ held.T).astype(np.int64)
 
 
-def _link_block(table: pa.Table) -> pa.Table:
+def _link_block(table: pa.Table, hashes: WordHashes) -> pa.Table:
     """Verify all pairs of a block; every linked document points to the first of its part."""
-    sets = _sets(table, WordHashes())
+    sets = _sets(table, hashes)
     names = sorted(sets)
     leader = {i: i for i in names}
     if len(names) > 1:
@@ -191,10 +191,10 @@ def _link_block(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, pa.int64()) for c in columns], names=["r", "id", "leader"])
 
 
-def _open_pair(table: pa.Table) -> pa.Table:
+def _open_pair(table: pa.Table, hashes: WordHashes) -> pa.Table:
     """One link if any document of one group is linked to one of the other; else nothing."""
     a, b = table.column("unit_a")[0].as_py(), table.column("unit_b")[0].as_py()
-    sets = _sets(table, WordHashes())
+    sets = _sets(table, hashes)
     side = dict(zip(table.column("id").to_pylist(), table.column("unit").to_pylist()))
     queries = [s for i, s in sets.items() if side[i] == a]
     others = [s for i, s in sets.items() if side[i] == b]
@@ -214,6 +214,12 @@ def _open_pair(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([a] * found, pa.int64()), "b": pa.array([b] * found, pa.int64())})
 
 
+def _with_hashes(each):
+    """A function of one group whose word hashes last from group to group of a task."""
+    hashes = WordHashes()
+    return lambda table: each(table, hashes)
+
+
 def _all_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All tokens of documents (id, sig_a, text) whose set is the expected one."""
     hashes = WordHashes()
@@ -235,7 +241,7 @@ def _groups(reps: DataFrame, texts: DataFrame, work: Workspace) -> DataFrame:
     members = work.table(rows.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(
         _blocks, "r bigint, block bigint, id bigint, sig_a bigint"))
     read = texts.join(members, "id").select("r", "block", "id", "sig_a", "text")
-    links = work.table(read.groupBy("r", "block").applyInArrow(_link_block, "r bigint, id bigint, leader bigint"))
+    links = work.table(read.groupBy("r", "block").applyInArrow(_with_hashes(_link_block), "r bigint, id bigint, leader bigint"))
     work.drop(members)
     return links
 
@@ -370,7 +376,7 @@ def _row_classes(docs: DataFrame, id_col: str, text_col: str, work: Workspace) -
         "unit_a", "unit_b", F.col("unit_b").alias("unit"), "id")
     asked = work.table(queries.unionByName(others).join(info.select("id", "sig_a"), "id"))
     read = texts.join(asked, "id").select("unit_a", "unit_b", "unit", "id", "sig_a", "text")
-    across = work.table(read.groupBy("unit_a", "unit_b").applyInArrow(_open_pair, "a bigint, b bigint"))
+    across = work.table(read.groupBy("unit_a", "unit_b").applyInArrow(_with_hashes(_open_pair), "a bigint, b bigint"))
     work.drop(asked)
     if not across.isEmpty():
         classes = components(links.unionByName(across), work)
