@@ -257,11 +257,12 @@ def _shared(rows: DataFrame, work: Workspace) -> DataFrame:
 
 def _crossing(matrix: DataFrame, info: DataFrame, work: Workspace) -> DataFrame:
     """The token-group matrix over tokens of two or more components: with the group and component of each row, and
-    the number of components and the component of most rows of each token."""
-    named = work.table(matrix.join(info.select("id", "unit", "class_id"), "id"))
-    counts = named.groupBy("token", "class_id").agg(F.count(F.lit(1)).alias("rows"))
-    tokens = work.table(counts.groupBy("token").agg(
-        F.count(F.lit(1)).alias("classes"), F.max_by("class_id", "rows").alias("main")).where("classes > 1"))
+    the number of components and the largest component of each token."""
+    named = work.table(matrix.join(info.select("id", "unit", "class_id", "class_size"), "id"))
+    held = named.select("token", "class_id", "class_size").distinct()
+    tokens = work.table(held.groupBy("token").agg(
+        F.count(F.lit(1)).alias("classes"), F.max(F.struct("class_size", "class_id"))["class_id"].alias("main")).where(
+        "classes > 1"))
     crossing = work.table(named.join(tokens, "token"))
     work.drop(named, tokens)
     return crossing
@@ -279,7 +280,8 @@ def _candidates(info: DataFrame, crossing: DataFrame, hot: DataFrame, work: Work
     """(id, unit_a, unit_b): documents and the groups of other components that their bound lets through.
 
     ``hot`` is the table of ``_prefix_ends``. Up to the end of its prefix a document's tokens are known to be in the
-    union of a group whose members' prefixes reach as far, or in none of its members.
+    union of a group whose members' prefixes reach as far, or in none of its members. The bound needs all tokens that
+    a document and a group share, so of two components the smaller one (by size, then id) asks for every token.
     """
     known = work.table(info.select("id", "n", "size", "prefix", "end").join(hot, "id", "left").withColumn(
         "end", F.when(F.col("hot").isNull(), F.col("end")).otherwise(F.col("cool_end"))).drop("cool_end"))
@@ -289,15 +291,15 @@ def _candidates(info: DataFrame, crossing: DataFrame, hot: DataFrame, work: Work
     rank = F.when(F.col("classes") > HOT_CLASSES, F.col("n") - F.size("hot") + among_hot).otherwise(
         F.col("place") - hot_before)
     rows = work.table(rows.withColumn("rank", rank).where(F.col("rank") < F.col("prefix")).drop("hot", "classes", "place"))
-    groups = work.table(rows.groupBy("token", "unit", "class_id", "main").agg(
+    groups = work.table(rows.groupBy("token", "unit", "class_id", "class_size").agg(
         F.max("size").alias("members"), F.min("n").alias("least_n"), F.max("n").alias("most_n"),
         F.when(F.count("end") == F.count(F.lit(1)), F.min("end")).alias("end")))
     work.drop(known)
     a = rows.where("class_id <> main").select("token", "id", F.col("unit").alias("unit_a"), F.col("class_id").alias(
-        "class_a"), "rank", "n", "prefix", F.col("end").alias("end_a"))
-    b = groups.select("token", F.col("unit").alias("unit_b"), F.col("class_id").alias("class_b"), "main", "members",
-                      "least_n", "most_n", F.col("end").alias("end_b"))
-    met = a.join(b, "token").where("class_a <> class_b AND (class_b = main OR unit_a < unit_b)")
+        "class_a"), F.col("class_size").alias("size_a"), "rank", "n", "prefix", F.col("end").alias("end_a"))
+    b = groups.select("token", F.col("unit").alias("unit_b"), F.col("class_id").alias("class_b"),
+                      F.col("class_size").alias("size_b"), "members", "least_n", "most_n", F.col("end").alias("end_b"))
+    met = a.join(b, "token").where("size_a < size_b OR (size_a = size_b AND class_a < class_b)")
     pairs = met.groupBy("id", "unit_a", "unit_b").agg(
         F.count(F.lit(1)).alias("shared"), F.min("rank").alias("low_rank"), F.max("rank").alias("rank"),
         F.max("members").alias("members"), F.first("n").alias("n"),
@@ -336,11 +338,14 @@ def _row_classes(docs: DataFrame, id_col: str, text_col: str, work: Workspace) -
     inside = _groups(narrow.join(active, "id", "left_semi"), texts, work)
     links = inside.select(F.col("id").alias("a"), F.col("leader").alias("b"))
     classes = components(links, work)
+    class_sizes = classes.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
     leaders = inside.where("r = 0").select("id", F.col("leader").alias("unit"))
     members = work.table(leaders.unionByName(leaders.select(F.col("unit").alias("id"), "unit").distinct()))
     units = members.join(members.groupBy("unit").agg(F.count(F.lit(1)).alias("size")), "unit")
-    info = work.table(narrow.join(classes, "id", "left").join(units, "id", "left").select(
+    sized = classes.join(work.table(class_sizes), "class_id")
+    info = work.table(narrow.join(sized, "id", "left").join(units, "id", "left").select(
         "id", "sig_a", "n", "kept", "prefix", "end", F.coalesce("class_id", "id").alias("class_id"),
+        F.coalesce("class_size", F.lit(1)).alias("class_size"),
         F.coalesce("unit", "id").alias("unit"), F.coalesce("size", F.lit(1)).alias("size")))
     work.drop(narrow, members)
 

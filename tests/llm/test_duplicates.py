@@ -33,6 +33,29 @@ def test_join_against_all_pairs(spark, monkeypatch, kept_whole, hot_classes):
     assert sorted(map(tuple, found.collect())) == sorted(plain.classes(rows))
 
 
+def near_pairs():
+    """Pairs of equally long texts just above the least similarity that links them, each pair in words of its own."""
+    rng = plain.rng(21)
+    texts = []
+    for k in range(200):
+        n = rng.randint(40, 120)
+        new = n // 9  # (n - new) / (n + new) >= 0.8
+        words = [f"p{k}w{i}" for i in range(n + 4 + new)]
+        texts += [" ".join(words[:n + 4]), " ".join(words[new:])]
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def test_matrix_links_near_pairs_without_groups(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "_groups", lambda reps, texts, work: spark.createDataFrame(
+        [], "r bigint, id bigint, leader bigint"))
+    rows = near_pairs()
+    expected = sorted(plain.classes(rows))
+    assert sum(i != c for i, _, c in expected) == len(rows) // 2
+    found = jaccard_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(6))
+    assert sorted(map(tuple, found.collect())) == expected
+
+
 def test_join_on_odd_rows(spark):
     rows = [*plain.ODD_ROWS, (30, "A b C d e f"), (29, "a B c D E F"), (31, "a b c d e f g"), (32, "Ä b c d e f")]
     docs = plain.odd_docs(spark, rows)
