@@ -1,8 +1,10 @@
 """Substring deduplication by sliding sentence spans.
 
 A text is cut into sentences, those of more than ``CLAUSE_WORDS`` words further at commas and clauses of more than
-``LONG_WORDS`` words every so many words; they are compared by their words in lower case. From every sentence on, and up to every sentence, the shortest run of at least ``MIN_SENTENCES``
-sentences and ``MIN_WORDS`` words is a span. Spans are hashed and joined over all documents: the document with the
+``LONG_WORDS`` words before the least word hash of every ``WINDOW`` words, so that the same words are cut at the same
+places behind whatever words they stand; they are compared by their words in lower case. In scripts written without
+spaces every character is a word. From every sentence on, and up to every sentence, the shortest run of at least
+``MIN_SENTENCES`` sentences and ``MIN_WORDS`` words is a span. Spans are hashed and joined over all documents: the document with the
 smallest id keeps a span, and within a document the first place does; all sentences in any other place are removed.
 
 The corpus-wide part moves one (hash, id) row per distinct span of a document; the counts are combinable, and only
@@ -31,19 +33,41 @@ MIN_SENTENCES = 2
 MIN_WORDS = 16
 CLAUSE_WORDS = 12
 LONG_WORDS = 25
+#: A passage of 60 words has two or more whole parts of together ``MIN_WORDS`` words wherever it stands.
+WINDOW = 11
 
+#: Commas of clauses; those of other scripts end a clause without white space behind them.
+_COMMAS = ",;:，、；：､،؛፣፥"
 #: The end of a sentence, or of a clause unless it holds a line break.
-_END = re.compile(r"[.!?]+\s+|\n\s*|[,;:]\s+")
-_WORD = re.compile(r"\w+")
+_END_PLAIN = re.compile(r"[.!?]+\s+|\n\s*|[,;:]\s+")
+_STOPS = "。！？｡．।॥؟۔።፧։။។៕"
+_END = re.compile(rf"[.!?]+\s+|[{_STOPS}]+\s*|\n\s*|[,;:]\s+|[{_COMMAS[3:]}]\s*")
+#: Thai, Lao, Myanmar, Khmer, kana and Chinese characters: scripts without spaces between words.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff" \
+            "\uf900-\ufaff\uff66-\uff9f\U00020000-\U000323af"
+#: Texts without any of these characters are read the same by the plain patterns, which are faster.
+_OTHER = re.compile(f"[{_STOPS}{_COMMAS[3:]}{_UNSPACED}]")
+_WORD_PLAIN = re.compile(r"\w+")
+_WORD = re.compile(rf"(?=\w)[{_UNSPACED}]|[^\W{_UNSPACED}]+")
 _STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 1 << 64)
 
 
+def _cuts(words: list[str]) -> np.ndarray:
+    """The words of a long clause that begin a part: the last least hash of every window of words."""
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    windows = np.lib.stride_tricks.sliding_window_view(hashes, WINDOW)
+    least = np.unique(np.arange(len(windows)) + WINDOW - 1 - windows[:, ::-1].argmin(axis=1))
+    return least[least > 0]
+
+
 def sentences(text: str) -> list[tuple[int, int, list[str]]]:
     """Start, end and words of every sentence; the parts join to the whole text."""
     found: list[tuple[int, int, list[str]]] = []
     clauses: list[tuple[int, int, list[str]]] = []
     last = n_words = 0
+    plain = text.isascii() or not _OTHER.search(text)
+    end_of, word_of = (_END_PLAIN, _WORD_PLAIN) if plain else (_END, _WORD)
 
     def close() -> None:
         if n_words <= CLAUSE_WORDS:
@@ -54,25 +78,26 @@ def sentences(text: str) -> list[tuple[int, int, list[str]]]:
                 if len(words) <= LONG_WORDS:
                     parts.append((a, b, words))
                 else:
-                    cuts = [a, *[m.start() for m in _WORD.finditer(text, a, b)][LONG_WORDS::LONG_WORDS], b]
-                    parts += [(c, d, _WORD.findall(text[c:d].lower())) for c, d in zip(cuts, cuts[1:])]
+                    found_at = list(word_of.finditer(text, a, b))
+                    cuts = [a, *[found_at[i].start() for i in _cuts([m[0].lower() for m in found_at])], b]
+                    parts += [(c, d, word_of.findall(text[c:d].lower())) for c, d in zip(cuts, cuts[1:])]
         for a, b, words in parts:
             if words or not found:
                 found.append((a, b, words))
             else:  # signs without a word belong to the sentence before
                 found[-1] = (found[-1][0], b, found[-1][2])
 
-    for end in _END.finditer(text):
+    for end in end_of.finditer(text):
         stop = end.end()
-        words = _WORD.findall(text[last:stop].lower())
+        words = word_of.findall(text[last:stop].lower())
         clauses.append((last, stop, words))
         n_words += len(words)
         last = stop
         said = end[0]
-        if said[0] not in ",;:" or "\n" in said:
+        if said[0] not in _COMMAS or "\n" in said:
             close()
             clauses, n_words = [], 0
-    words = _WORD.findall(text[last:].lower())
+    words = word_of.findall(text[last:].lower())
     clauses.append((last, len(text), words))
     n_words += len(words)
     close()

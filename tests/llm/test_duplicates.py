@@ -127,6 +127,41 @@ def test_repeated_passage_goes_and_the_rest_stays(spark):
         assert found[i] == rows[i - 1][1].replace(passage + "\n", "")
 
 
+def unmarked(rng, count):
+    return " ".join(rng.choices(BIG, k=count))
+
+
+def unspaced(rng, count):
+    return "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(count))
+
+
+def shared_share(rng, passages, glued):
+    """Share of passages that have a common span in two texts which ``glued`` makes around them."""
+    common = 0
+    for passage in passages:
+        one, other = (set(sentence_spans.spans(sentence_spans.sentences(glued(passage)))[2].tolist()) for _ in range(2))
+        common += bool(one & other)
+    return common / len(passages)
+
+
+def test_passages_inside_long_sentences_are_found():
+    rng = plain.rng(31)
+    around = lambda p: f"{unmarked(rng, rng.randint(3, 60))} {p} {unmarked(rng, rng.randint(3, 60))}"
+    for count in (60, 200):
+        assert shared_share(rng, [unmarked(rng, count) for _ in range(100)], around) == 1
+
+
+def test_passages_in_scripts_without_spaces_are_found():
+    rng = plain.rng(32)
+    around = lambda p: f"{unspaced(rng, rng.randint(3, 40))}{p}{unspaced(rng, rng.randint(3, 40))}。"
+    assert shared_share(rng, [unspaced(rng, 60) for _ in range(100)], around) == 1
+    stops = ["。".join(unspaced(rng, 12) for _ in range(4)) for _ in range(100)]
+    assert shared_share(rng, stops, around) == 1
+    text = "第一句话。第二句话，还有！Third one. 第四？"
+    parts = sentence_spans.sentences(text)
+    assert "".join(text[a:b] for a, b, _ in parts) == text and len(parts) == 4
+
+
 def test_spans_on_odd_rows(spark):
     text = plain.prose(plain.rng(3), 60)
     rows = [*plain.ODD_ROWS, (40, text), (40, text), (41, text), (None, text), (None, f"{text}\n{text}")]
