@@ -30,8 +30,10 @@ from paperwarden.llm.batches import SLICE
 
 Q = 10
 EDIT_SHARE = 0.07
-#: Items longer than this are cut into pieces of this length, one every half of it.
-PIECE_CHARS = 240
+#: Items longer than this are cut into pieces of this length, one every ``PIECE_STEP`` characters, so that any quote of
+#: ``PIECE_CHARS`` + ``PIECE_STEP`` characters holds a whole piece.
+PIECE_CHARS = 100
+PIECE_STEP = 25
 BLOCK_CHARS = 4_000_000
 #: Shared q-grams counted at a time.
 CHUNK = 400_000
@@ -115,7 +117,7 @@ class Pieces:
                 short.append((name, f" {plain} "))
                 continue
             last = max(0, len(plain) - PIECE_CHARS)
-            for start in [*range(0, last, PIECE_CHARS // 2), last]:
+            for start in [*range(0, last, PIECE_STEP), last]:
                 names.append(name)
                 codes.append(_codes(plain[start:start + PIECE_CHARS]))
         budgets = np.array([int(EDIT_SHARE * len(c)) for c in codes], np.int64)

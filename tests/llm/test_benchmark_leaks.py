@@ -31,6 +31,15 @@ def test_filter_loses_nothing_that_alignment_finds():
     assert hits > 20
 
 
+def test_quotes_of_a_part_of_an_item_are_found():
+    rng = plain.rng(7)
+    for chars, first, last in ((200, 0, 170), (200, 30, 200), (200, 15, 185), (394, 60, 320), (394, 130, 260)):
+        item = normal(plain.prose(rng, 90))[:chars]
+        pieces = Pieces.of([(1, item)])
+        assert {f[0] for f in pieces.find(f"{plain.prose(rng, 40)} {item[first:last]} {plain.prose(rng, 40)}")} == {1}
+        assert pieces.find(plain.prose(rng, 200)) == []
+
+
 def test_alignment_counts_edits():
     rng = plain.rng(1)
     for _ in range(60):
