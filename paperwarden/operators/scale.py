@@ -103,13 +103,18 @@ def temporary_workspace(spark: SparkSession):
         work.close()
 
 
+def workspace(spark: SparkSession) -> Workspace:
+    """The workspace of the surrounding ``temporary_workspace``, else a new one that stays."""
+    return _current.get() or Workspace(spark)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and go on from its files.
 
     Lost executors then cost no more than the running step, later readers take only the columns they need, and
     joins know the real size. Inside ``temporary_workspace`` the table is removed with it, else it stays.
     """
-    return (_current.get() or Workspace(df.sparkSession)).table(df)
+    return workspace(df.sparkSession).table(df)
 
 
 def size_in_bytes(df: DataFrame) -> int:
