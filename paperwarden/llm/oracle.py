@@ -165,6 +165,57 @@ SELECT doc_id, source, size, source_size, target, CASE WHEN size = 0 THEN 0 ELSE
 FROM q"""
 
 
+def crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of a short ASCII text."""
+    table = ("list_transform(range(256), lambda i: list_reduce(list_prepend(i::BIGINT, range(8)), lambda c, k: "
+             "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END))")
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, b: "
+            f"xor(a >> 8, ({table})[(xor(a, b) & 255) + 1])), 4294967295::BIGINT)")
+
+
+def merkle_manifest_sql(depth: int = 7) -> str:
+    """Trees of at most 8 to the power ``depth`` leaves, level by level."""
+    def digest(text):
+        told = ", ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+                         for c in ("doc_id", "source", "lang", "n_chars", text))
+        return f"sha256(concat({told}))"
+
+    def climb(name):
+        return "".join(f"""
+{name}{k} AS (SELECT tree, pos // 8 AS pos, CASE WHEN n = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h,
+                     (n + 7) // 8 AS n FROM {name}{k - 1} GROUP BY tree, pos // 8, n),
+{name}_side{k - 1} AS (SELECT a.tree, a.pos, a.n, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+                     coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+              FROM {name}{k - 1} a JOIN {name}{k - 1} b ON a.tree = b.tree AND a.pos // 8 = b.pos // 8
+              GROUP BY a.tree, a.pos, a.n),""" for k in range(1, depth + 1))
+
+    def steps(before, name, pos):
+        return "".join(f"""
+{name}_step{k} AS (SELECT p.* EXCLUDE (f, proof), CASE WHEN s.n = 1 THEN f ELSE sha256(l || f || r) END AS f,
+                          CASE WHEN s.n = 1 THEN proof ELSE proof || l || r END AS proof
+                   FROM {before if k == 0 else f'{name}_step{k - 1}'} p
+                   JOIN {name}_side{k} s ON s.tree = {'p.tree' if name == 'low' else '0'} AND s.pos = p.{pos} // {8 ** k}),"""
+                       for k in range(depth))
+
+    small = f"translate(text, '{UPPER}', '{LOWER}')"
+    return f"""
+WITH d AS (SELECT doc_id, lang, {digest('text')} AS leaf,
+                  CASE WHEN {crc32_sql('doc_id::VARCHAR')} % 3 = 0 THEN {digest(small)} ELSE {digest('text')} END AS claimed
+           FROM documents),
+placed AS (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+                  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                  count(*) OVER (PARTITION BY lang) AS n FROM d),
+low0 AS (SELECT tree, pos, leaf AS h, n FROM placed),{climb('low')}
+top0 AS (SELECT 0 AS tree, tree AS pos, h, count(*) OVER () AS n FROM low{depth}),{climb('top')}
+begun AS (SELECT doc_id, leaf, tree, pos, claimed AS f, '' AS proof FROM placed),{steps('begun', 'low', 'pos')}
+{steps(f'low_step{depth - 1}', 'top', 'tree')}
+root AS (SELECT h AS root FROM top{depth})
+SELECT doc_id, leaf, low{depth}.h AS subroot, root, sha256(proof) AS proof_sha256, f AS folded_root, f = root AS verified
+FROM top_step{depth - 1} p JOIN low{depth} ON low{depth}.tree = p.tree, root"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op4_license_scan": license_scan_sql(), "op6_chat_examples": chat_examples_sql(),
-            "op9_quality_rules": quality_rules_sql(), "op10_source_mix": source_mix_sql()}
+            "op9_quality_rules": quality_rules_sql(), "op10_source_mix": source_mix_sql(),
+            "op13_merkle_manifest": merkle_manifest_sql()}

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperwarden.llm import (chat_examples, decontaminate, html_content, jaccard_join, language_id, license_scan,
-                             mixing, quality_classifier, quality_rules, sentence_spans)
+                             merkle_manifest, mixing, quality_classifier, quality_rules, sentence_spans)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,9 +91,23 @@ def op10_source_mix(spark, sf_dir):
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark, sf_dir):
+    """Proofs of all rows, folded from rows of which every third has its letters A-Z made small."""
+    docs = _table(spark, sf_dir, "documents")
+    small = F.translate(docs["text"], string.ascii_uppercase, string.ascii_lowercase)
+    told = [small if name == "text" else docs[name] for name in merkle_manifest.FIELDS]
+    own = merkle_manifest.row_digest([docs[name] for name in merkle_manifest.FIELDS])
+    tampered = F.coalesce(F.crc32(docs["doc_id"].cast("string")) % 3 == 0, F.lit(False))
+    claimed = F.when(tampered, merkle_manifest.row_digest(told)).otherwise(own)
+    found = merkle_manifest.merkle_manifest(docs, carry={"claimed": claimed})
+    found = found.withColumn("folded_root", merkle_manifest.fold(F.col("claimed"), F.col("path")))
+    return found.select("doc_id", "leaf", "subroot", "root", merkle_manifest.proof_digest(F.col("path")).alias("proof_sha256"),
+                        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_quality_classifier": op1_quality_classifier, "op2_html_content": op2_html_content,
             "op3_language_id": op3_language_id, "op4_license_scan": op4_license_scan,
             "op5_decontamination": op5_decontamination, "op6_chat_examples": op6_chat_examples,
             "op7_jaccard_join": op7_jaccard_join, "op8_sentence_spans": op8_sentence_spans, "op9_quality_rules": op9_quality_rules,
-            "op10_source_mix": op10_source_mix}
+            "op10_source_mix": op10_source_mix, "op13_merkle_manifest": op13_merkle_manifest}
