@@ -22,7 +22,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paperwarden.llm.ranks import rank_rows
+from paperwarden.operators.ranks import rank_rows
 from paperwarden.operators.scale import Workspace, broadcast_if_small, workspace
 
 FANOUT = 8

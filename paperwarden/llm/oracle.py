@@ -174,6 +174,33 @@ def crc32_sql(text: str) -> str:
             f"xor(a >> 8, ({table})[(xor(a, b) & 255) + 1])), 4294967295::BIGINT)")
 
 
+def conversation_trie_sql() -> str:
+    return f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+             PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS p
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS family, {crc32_sql('conv_id::VARCHAR')} % 9 AS h, count(*) AS n
+      FROM t GROUP BY conv_id),
+k AS (SELECT c.*, least(c.h, coalesce(f.n, 0)) AS taken FROM c LEFT JOIN c f ON f.conv_id = c.family),
+r AS (SELECT conv_id, p - h + taken + 1 AS depth, role, text FROM t JOIN k USING (conv_id) WHERE p >= h
+      UNION ALL SELECT k.conv_id, p + 1, role, text FROM k JOIN t ON t.conv_id = k.family WHERE p < taken),
+cut AS (SELECT conv_id, depth, strlen(text) AS bytes, md5(string_agg(md5(strlen(role) || ':' || role || text), '') OVER (
+               PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING)) AS node FROM r
+        UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+nodes AS (SELECT depth, node, count(*) AS n_convs, min(conv_id) AS conv_id, max(bytes) AS bytes FROM cut GROUP BY ALL),
+ends AS (SELECT depth, node, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends FROM cut
+         WHERE (conv_id, depth) IN (SELECT (conv_id, max(depth)) FROM cut GROUP BY conv_id) GROUP BY ALL),
+up AS (SELECT DISTINCT a.depth, a.node, b.node AS parent FROM cut a JOIN cut b ON a.conv_id = b.conv_id AND b.depth = a.depth - 1),
+born AS (SELECT depth - 1 AS depth, parent AS node, count(*) AS n_children FROM up GROUP BY ALL),
+full_nodes AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN born USING (depth, node)),
+below AS (SELECT a.depth, a.node, count(*) FILTER (y.n_children = 0) AS n_leaves, sum((y.n_convs - 1) * y.bytes) AS saved_tokens
+          FROM full_nodes y JOIN cut a ON a.conv_id = y.conv_id AND a.depth <= y.depth GROUP BY ALL)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM full_nodes n JOIN below USING (depth, node) LEFT JOIN ends USING (depth, node) LEFT JOIN up USING (depth, node)
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.node = up.parent"""
+
+
 def merkle_manifest_sql(depth: int = 7) -> str:
     """Trees of at most 8 to the power ``depth`` leaves, level by level."""
     def digest(text):
@@ -218,4 +245,4 @@ FROM top_step{depth - 1} p JOIN low{depth} ON low{depth}.tree = p.tree, root"""
 def oracle_sql() -> dict[str, str]:
     return {"op4_license_scan": license_scan_sql(), "op6_chat_examples": chat_examples_sql(),
             "op9_quality_rules": quality_rules_sql(), "op10_source_mix": source_mix_sql(),
-            "op13_merkle_manifest": merkle_manifest_sql()}
+            "op11_conversation_trie": conversation_trie_sql(), "op13_merkle_manifest": merkle_manifest_sql()}

@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperwarden.llm import (chat_examples, decontaminate, html_content, jaccard_join, language_id, license_scan,
-                             merkle_manifest, mixing, quality_classifier, quality_rules, sentence_spans)
+from paperwarden.llm import (bloom_lm, chat_examples, conversation_trie, decontaminate, html_content, jaccard_join,
+                             language_id, license_scan, merkle_manifest, mixing, quality_classifier, quality_rules, sentence_spans)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,6 +91,22 @@ def op10_source_mix(spark, sf_dir):
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark, sf_dir):
+    """The trie of conversations that start like the first one of their family of five ids."""
+    def family(conv):
+        return conv - conv % 5, F.crc32(conv.cast("string")) % 9
+
+    return conversation_trie.conversation_trie(_table(spark, sf_dir, "conversations"), rebuilt=family)
+
+
+def op12_bloom_lm(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    unseen = F.coalesce(F.crc32(docs["doc_id"].cast("string")) % 7 == 2, F.lit(False))
+    found = bloom_lm.score_documents(docs, ~unseen)
+    return found.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
+                        "score")
+
+
 def op13_merkle_manifest(spark, sf_dir):
     """Proofs of all rows, folded from rows of which every third has its letters A-Z made small."""
     docs = _table(spark, sf_dir, "documents")
@@ -110,4 +126,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "op3_language_id": op3_language_id, "op4_license_scan": op4_license_scan,
             "op5_decontamination": op5_decontamination, "op6_chat_examples": op6_chat_examples,
             "op7_jaccard_join": op7_jaccard_join, "op8_sentence_spans": op8_sentence_spans, "op9_quality_rules": op9_quality_rules,
-            "op10_source_mix": op10_source_mix, "op13_merkle_manifest": op13_merkle_manifest}
+            "op10_source_mix": op10_source_mix, "op11_conversation_trie": op11_conversation_trie,
+            "op12_bloom_lm": op12_bloom_lm, "op13_merkle_manifest": op13_merkle_manifest}

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paperwarden.llm import merkle_manifest
-from paperwarden.llm.ranks import rank_rows, running
+from paperwarden.operators.ranks import rank_rows, running
 from paperwarden.operators import scale
 
 
