@@ -19,8 +19,8 @@ which score their documents.
 
 Defined cases: a null text counts as empty; an empty text is its end alone; texts are read whole, whatever their
 length; repeated rows are rows of their own; without training rows every probability is 1 and every score 0; an empty
-table gives an empty result. A word stands for its 64-bit hash, of which 48 bits beyond the bucket are kept. Columns
-beyond the named ones are ignored.
+table gives an empty result. A word or pair stands for its 64-bit hash, of which 48 or 40 bits beyond those of the bucket
+are kept. Columns beyond the named ones are ignored.
 """
 
 from __future__ import annotations
@@ -37,12 +37,13 @@ from paperwarden.operators.scale import workspace
 
 #: Bytes of text a slice, a bucket and a zone stand for, and the least numbers of slices and buckets.
 SLICE_BYTES, BUCKET_BYTES, ZONE_BYTES = 4 << 20, 16 << 20, 128 << 20
-MIN_SLICES, MIN_BUCKETS = 512, 1024
-#: Bits of the filter per entry and bits set by one, all in one 64-bit word.
-BITS_PER_ENTRY, PROBE_BITS = 20, 7
+MIN_SLICES, MIN_BUCKETS = 256, 1024
+#: Bits of the filter per entry. An entry sets two patterns of PATTERN_BITS bits in one 64-bit word.
+BITS_PER_ENTRY, PATTERN_BITS = 20, 3
 #: Weight of the unigram probability, as a count.
 MU = 2.0
-RESIDUE_BITS = 48
+#: Bytes kept of the hash of a word and of a pair, beyond the bits that name its bucket.
+WORD_BYTES, PAIR_BYTES = 6, 5
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 END_HASH = np.uint64(xxhash.xxh3_64_intdigest(b""))
@@ -63,31 +64,30 @@ class Layout:
     bucket_bits: int
     zones: int
 
-    @property
-    def residue_bits(self) -> int:
-        return min(RESIDUE_BITS, 64 - self.bucket_bits)
+    def keys(self, hashes: np.ndarray, width: int) -> np.ndarray:
+        """The first bits of hashes: the bucket and ``width`` bytes."""
+        return hashes >> np.uint64(max(0, 64 - self.bucket_bits - 8 * width))
 
-    def keys(self, hashes: np.ndarray, order: int) -> np.ndarray:
-        """The kept bits of hashes: bucket, residue, and in the last bit the order of the n-gram."""
-        shift = 64 - self.bucket_bits - self.residue_bits
-        return ((hashes >> np.uint64(shift)) & ~np.uint64(1)) | np.uint64(order - 1)
+    def residue_bits(self, width: int) -> int:
+        return min(8 * width, 64 - self.bucket_bits)
 
-    def buckets(self, keys: np.ndarray) -> np.ndarray:
-        return (keys >> np.uint64(self.residue_bits)).astype(np.int64)
+    def buckets(self, keys: np.ndarray, width: int) -> np.ndarray:
+        return (keys >> np.uint64(self.residue_bits(width))).astype(np.int64)
 
     def zone(self, bucket):
         return bucket * self.zones // (1 << self.bucket_bits)
 
-    def pack(self, keys: np.ndarray) -> np.ndarray:
-        """Residues, six bytes each."""
-        return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).reshape(-1)
+    def unpack(self, data: np.ndarray, buckets: np.ndarray, width: int) -> np.ndarray:
+        """Keys from residues, ``width`` bytes each, and the bucket of each."""
+        wide = np.zeros((len(data) // width, 8), np.uint8)
+        wide[:, :width] = data.reshape(-1, width)
+        bits = np.uint64(self.residue_bits(width))
+        return (buckets.astype(np.uint64) << bits) | (wide.reshape(-1).view("<u8") & ((np.uint64(1) << bits) - np.uint64(1)))
 
-    def unpack(self, data: np.ndarray, buckets: np.ndarray) -> np.ndarray:
-        """Keys from residues and the bucket of each."""
-        wide = np.zeros((len(data) // 6, 8), np.uint8)
-        wide[:, :6] = data.reshape(-1, 6)
-        residues = wide.reshape(-1).view("<u8") & np.uint64((1 << self.residue_bits) - 1)
-        return (buckets.astype(np.uint64) << np.uint64(self.residue_bits)) | residues
+
+def pack(keys: np.ndarray, width: int) -> np.ndarray:
+    """The last ``width`` bytes of each key."""
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].reshape(-1)
 
 
 def choose_layout(text_bytes: int) -> Layout:
@@ -106,80 +106,98 @@ class Tokens:
     words: np.ndarray
     pairs: np.ndarray
 
+    def before(self) -> np.ndarray:
+        """The word before each token; a text's first word follows the end of the text before."""
+        return np.concatenate([self.word[-1:], self.word[:-1]])
+
 
 def tokenise(texts: pa.Array, layout: Layout) -> Tokens:
     """Lower-case A-Z, words without white space, then one end a text."""
-    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
-    parents, flat = pc.list_parent_indices(split).to_numpy(), pc.list_flatten(split)
-    real = pc.not_equal(flat, "")
-    coded = flat.filter(real).dictionary_encode()
-    hashes = np.array([*map(xxhash.xxh3_64_intdigest, coded.dictionary.to_pylist()), END_HASH], np.uint64)
-    parents = parents[real.to_numpy(zero_copy_only=False)]
-    counts = np.bincount(parents, minlength=len(texts))
-    document = np.repeat(np.arange(len(texts)), counts + 1)
-    word = np.full(len(document), len(hashes) - 1)
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat, starts = split.values, split.offsets.to_numpy()
+    counts = np.diff(starts)
+    real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+    if not real.all():  # white space at an end of a text leaves an empty word
+        counts = np.diff(np.concatenate([[0], np.cumsum(real)])[starts])
+        flat = flat.filter(pa.array(real))
+    coded = flat.dictionary_encode()
+    named = coded.dictionary.to_numpy(zero_copy_only=False)
+    hashes = np.append(np.fromiter(map(xxhash.xxh3_64_intdigest, named), np.uint64, len(named)), END_HASH)
     ends = np.cumsum(counts + 1) - 1
-    inner = np.ones(len(document), bool)
+    word = np.full(int(ends[-1]) + 1, len(hashes) - 1, np.int32)
+    inner = np.ones(len(word), bool)
     inner[ends] = False
     word[inner] = coded.indices.to_numpy()
-    before = np.concatenate([word[-1:], word[:-1]])  # every text ends with the end, which comes before the next one's start
-    pairs = mixed(hashes[before] * _MIX[0] + hashes[word])
-    return Tokens(document, word, layout.keys(hashes, 1), layout.keys(pairs, 2))
-
-
-def distinct_grams(tokens: Tokens) -> np.ndarray:
-    """All n-grams of some documents, ascending."""
-    return np.unique(np.concatenate([tokens.words, np.unique(tokens.pairs)]))
+    found = Tokens(np.repeat(np.arange(len(texts), dtype=np.int32), counts + 1), word, layout.keys(hashes, WORD_BYTES), hashes)
+    pairs = mixed((hashes * _MIX[0])[found.before()] + hashes[word])
+    found.pairs = layout.keys(pairs, PAIR_BYTES)
+    return found
 
 
 def _binary(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
     """A column of byte strings cut from one buffer."""
-    data = np.ascontiguousarray(data).view(np.uint8)
-    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-    return pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).cast(
-        pa.binary())
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    buffer = pa.py_buffer(np.ascontiguousarray(data).view(np.uint8))
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), buffer])
 
 
 def _bytes(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a column of byte strings in a row, and the length of each."""
-    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    if isinstance(whole, pa.ChunkedArray):
-        whole = pa.concat_arrays(whole.chunks) if whole.num_chunks else pa.array([], pa.binary())
-    lengths = pc.binary_length(whole).to_numpy(zero_copy_only=False).astype(np.int64)
-    return np.frombuffer(b"".join(whole.to_pylist()), np.uint8), lengths
+    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    data, lengths = [np.empty(0, np.uint8)], [np.empty(0, np.int64)]
+    for chunk in chunks:
+        offsets = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset:chunk.offset + len(chunk) + 1] if len(chunk) else np.zeros(1, np.int32)
+        if chunk.buffers()[2] is not None:
+            data.append(np.frombuffer(chunk.buffers()[2], np.uint8)[offsets[0]:offsets[-1]])
+        lengths.append(np.diff(offsets).astype(np.int64))
+    return np.concatenate(data), np.concatenate(lengths)
 
 
-SENT = "slice bigint, bucket bigint, keys binary, counts binary"
-KEPT = ("zone bigint, bucket bigint, slice bigint, keys binary, bits binary, words binary, word_counts binary, "
-        "n_tokens bigint, n_words bigint")
-ANSWERED = "slice bigint, bucket bigint, levels binary, counts binary"
+GRAMS = "pairs binary, words binary"
+SENT = f"slice bigint, bucket bigint, {GRAMS}, pair_counts binary, word_counts binary"
+KEPT = f"zone bigint, bucket bigint, slice bigint, {GRAMS}, bits binary, word_counts binary, n_tokens bigint"
+ANSWERED = "slice bigint, bucket bigint, pairs binary, words binary, word_counts binary"
+
+
+def _texts(table: pa.Table) -> pa.Array:
+    column = table.column("text")
+    return column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays(column.chunks)
+
+
+def counted_pairs(tokens: Tokens, trained: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs, ascending, and how often each stands in documents that are ``trained`` on."""
+    flagged = np.sort((tokens.pairs << np.uint64(1)) | trained[tokens.document].astype(np.uint64))
+    keys = flagged >> np.uint64(1)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat((flagged & np.uint64(1)).astype(np.int32), first)
 
 
 def _send(layout: Layout):
     """The n-grams of one slice, with their counts in training texts, to their buckets."""
-    def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        texts, trained = _texts(table), table.column("trained").to_numpy()
-        tokens = tokenise(texts, layout)
-        keys = distinct_grams(tokens)
-        counts = np.zeros(len(keys), np.int64)
-        learned = trained[tokens.document]
-        pairs, times = np.unique(tokens.pairs[learned], return_counts=True)
-        counts[np.searchsorted(keys, pairs)] = times
-        times = np.bincount(tokens.word[learned], minlength=len(tokens.words))
-        counts[np.searchsorted(keys, tokens.words)] = times
-        buckets, starts = np.unique(layout.buckets(keys), return_index=True)
-        lengths = np.diff(np.append(starts, len(keys)))
-        return pa.table({"slice": np.full(len(buckets), table.column("slice")[0].as_py()), "bucket": buckets,
-                         "keys": _binary(layout.pack(keys), lengths * 6),
-                         "counts": _binary(counts.astype("<i4"), lengths * 4)})
+    every = np.arange(1 << layout.bucket_bits)
 
-    return run
+    def cut(keys: np.ndarray, width: int) -> np.ndarray:
+        """How many of the ascending keys each bucket gets."""
+        starts = np.searchsorted(layout.buckets(keys, width), every)
+        return np.diff(np.append(starts, len(keys)))
 
+    def run(table: pa.Table) -> pa.Table:
+        trained = table.column("trained").to_numpy()
+        tokens = tokenise(_texts(table), layout)
+        pairs, pair_counts = counted_pairs(tokens, trained)
+        word_counts = np.bincount(tokens.word[trained[tokens.document]], minlength=len(tokens.words))
+        order = np.argsort(tokens.words)
+        words, word_counts = tokens.words[order], word_counts[order]
+        n_pairs, n_words = cut(pairs, PAIR_BYTES), cut(words, WORD_BYTES)
+        some = (n_pairs + n_words) > 0
+        n_pairs, n_words = n_pairs[some], n_words[some]
+        return pa.table({"slice": np.full(len(n_pairs), table.column("slice")[0].as_py()), "bucket": every[some],
+                         "pairs": _binary(pack(pairs, PAIR_BYTES), n_pairs * PAIR_BYTES),
+                         "words": _binary(pack(words, WORD_BYTES), n_words * WORD_BYTES),
+                         "pair_counts": _binary(pair_counts.astype("<i4"), n_pairs * 4),
+                         "word_counts": _binary(word_counts.astype("<i4"), n_words * 4)})
 
-def _texts(table: pa.Table) -> pa.Array:
-    column = table.column("text")
-    return pa.concat_arrays(column.chunks) if column.num_chunks != 1 else column.chunk(0)
+    return run
 
 
 def levels_of(counts: np.ndarray) -> np.ndarray:
@@ -187,20 +205,29 @@ def levels_of(counts: np.ndarray) -> np.ndarray:
     return np.where(counts > 0, np.floor(np.log2(np.maximum(counts, 1))) + 1, 0).astype(np.int64)
 
 
+_HIGH = 2.0 ** np.arange(65)
+_MIDDLE = np.where(np.arange(65) > 0, (_HIGH / 2 + _HIGH - 1) / 2, 0.0)
+
+
 def estimate(levels: np.ndarray) -> np.ndarray:
     """The middle of the counts with so many binary digits."""
-    high = 2.0 ** levels
-    return np.where(levels > 0, (high / 2 + high - 1) / 2, 0.0)
+    return _MIDDLE[levels]
+
+
+def _patterns() -> np.ndarray:
+    """4096 words of PATTERN_BITS bits each."""
+    drawn = mixed(np.arange(1, 4097, dtype=np.uint64) * _MIX[0])
+    return np.bitwise_or.reduce([np.uint64(1) << ((drawn >> np.uint64(6 * k)) & np.uint64(63)) for k in range(PATTERN_BITS)])
+
+
+_PATTERNS = _patterns()
 
 
 def _places(keys: np.ndarray, number: int, sizes) -> tuple[np.ndarray, np.ndarray]:
     """The word of its part's bits, and the bits in it, that an entry of key and number sets."""
     first = mixed(keys * _MIX[0] + np.uint64(number))
-    second = mixed(first + _MIX[0])
-    mask = np.zeros(len(keys), np.uint64)
-    for k in range(PROBE_BITS):
-        mask |= np.uint64(1) << ((second >> np.uint64(6 * k)) & np.uint64(63))
-    return (first % sizes).astype(np.int64), mask
+    place = (first >> np.uint64(24)) % sizes
+    return place.astype(np.int64), _PATTERNS[first & np.uint64(4095)] | _PATTERNS[(first >> np.uint64(12)) & np.uint64(4095)]
 
 
 def filter_part(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -214,31 +241,44 @@ def filter_part(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return bits
 
 
+#: Pairs and words are entered as different keys.
+_PAIR_MARK = np.uint64(1) << np.uint64(63)
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys with a count, ascending, and their total counts."""
+    learned = counts > 0
+    order = np.argsort(keys[learned], kind="stable")
+    keys, counts = keys[learned][order], counts[learned][order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
 def _keep(layout: Layout):
     """The filter part and exact word counts of one bucket, and what each slice asks of it."""
     def run(table: pa.Table) -> pa.Table:
-        bucket = table.column("bucket")[0].as_py()
-        asked, lengths = _bytes(table.column("keys"))
-        keys = layout.unpack(asked, np.full(len(asked) // 6, bucket))
-        counts = _bytes(table.column("counts"))[0].view("<i4").astype(np.int64)
-        learned = counts > 0
-        order = np.argsort(keys[learned], kind="stable")
-        known, starts = np.unique(keys[learned][order], return_index=True)
-        totals = np.add.reduceat(counts[learned][order], starts) if len(starts) else counts[:0]
-        word = (known & np.uint64(1)) == 0
-        slices, n = table.column("slice").to_numpy(), table.num_rows
+        bucket, n = table.column("bucket")[0].as_py(), table.num_rows
+        asked, known = {}, {}
+        for name, width in (("pair", PAIR_BYTES), ("word", WORD_BYTES)):
+            data, lengths = _bytes(table.column(f"{name}s"))
+            asked[name] = data, lengths
+            counts = _bytes(table.column(f"{name}_counts"))[0].view("<i4").astype(np.int64)
+            known[name] = _summed(layout.unpack(data, np.full(len(data) // width, bucket), width), counts)
+        (pairs, pair_counts), (words, word_counts) = known["pair"], known["word"]
+        bits = filter_part(np.concatenate([pairs | _PAIR_MARK, words]), np.concatenate([pair_counts, word_counts]))
         none = np.zeros(n, np.int64)
 
-        def beside(first: np.ndarray) -> pa.Array:
-            """``first`` in the bucket's own row, nothing in those of the slices."""
-            data = np.ascontiguousarray(first).view(np.uint8)
-            return _binary(data, np.append(len(data), none))
+        def beside(first: np.ndarray, rest: tuple[np.ndarray, np.ndarray] | None = None) -> pa.Array:
+            """``first`` in the bucket's own row, then ``rest`` in those of the slices."""
+            data, lengths = rest or (np.empty(0, np.uint8), none)
+            first = np.ascontiguousarray(first).view(np.uint8)
+            return _binary(np.concatenate([first, data]), np.append(len(first), lengths))
 
         return pa.table({
-            "zone": np.full(n + 1, layout.zone(bucket)), "bucket": np.full(n + 1, bucket), "slice": np.append(-1, slices),
-            "keys": _binary(asked, np.append(0, lengths)), "bits": beside(filter_part(known, totals)),
-            "words": beside(layout.pack(known[word])), "word_counts": beside(totals[word].astype("<i8")),
-            "n_tokens": np.append(totals[word].sum(), none), "n_words": np.append(word.sum(), none)})
+            "zone": np.full(n + 1, layout.zone(bucket)), "bucket": np.full(n + 1, bucket),
+            "slice": np.append(-1, table.column("slice").to_numpy()), "pairs": beside(none[:0], asked["pair"]),
+            "words": beside(pack(words, WORD_BYTES), asked["word"]), "bits": beside(bits.astype("<u8")),
+            "word_counts": beside(word_counts.astype("<i8")), "n_tokens": np.append(word_counts.sum(), none)})
 
     return run
 
@@ -258,15 +298,15 @@ class Zone:
         """How many numbers of each key are found before the first that is missing."""
         found = np.zeros(len(keys), np.uint8)
         at = buckets - self.first
-        open_, number = np.arange(len(keys)), 0
-        while len(open_):
-            number += 1
-            places, mask = _places(keys[open_], number, self.sizes[at[open_]].astype(np.uint64))
-            hit = (self.bits[self.starts[at[open_]] + places] & mask) == mask
-            open_ = open_[hit]
-            found[open_] = number
-            if number == 64:
+        starts, sizes = self.starts[at], self.sizes[at].astype(np.uint64)
+        open_ = np.arange(len(keys))
+        for number in range(1, 65):
+            places, mask = _places(keys, number, sizes)
+            hit = (self.bits[starts + places] & mask) == mask
+            open_, keys, starts, sizes = open_[hit], keys[hit], starts[hit], sizes[hit]
+            if not len(keys):
                 break
+            found[open_] = number
         return found
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
@@ -291,56 +331,56 @@ def _gather_zone(parts: DataFrame, layout: Layout) -> Zone | None:
         used += len(own)
         bits.append(own)
         residues = np.frombuffer(row.words, np.uint8)
-        words.append(layout.unpack(residues, np.full(len(residues) // 6, row.bucket)))
+        words.append(layout.unpack(residues, np.full(len(residues) // WORD_BYTES, row.bucket), WORD_BYTES))
         counts.append(np.frombuffer(row.word_counts, "<i8"))
     return Zone(first, starts, sizes, *map(np.concatenate, (bits, words, counts)))
 
 
 def _answers(asked: DataFrame, zone: Zone, layout: Layout) -> DataFrame:
-    """Levels of all n-grams that the slices ask of a zone, and the exact counts of words among them."""
+    """Levels of all n-grams that the slices ask of a zone, and the exact counts of the words among them."""
     shared = asked.sparkSession.sparkContext.broadcast(zone)
 
     def run(batches):
         held = shared.value
         for batch in batches:
-            data, lengths = _bytes(batch.column(2))
-            buckets = np.repeat(batch.column(1).to_numpy(), lengths // 6)
-            keys = layout.unpack(data, buckets)
-            words = (keys & np.uint64(1)) == 0
-            row = np.repeat(np.arange(len(lengths)), lengths // 6)
+            bucket = batch.column(1).to_numpy()
+            (pairs, n_pairs), (words, n_words) = _bytes(batch.column(2)), _bytes(batch.column(3))
+            n_pairs, n_words = n_pairs // PAIR_BYTES, n_words // WORD_BYTES
+            pair_at, word_at = np.repeat(bucket, n_pairs), np.repeat(bucket, n_words)
+            pairs, words = layout.unpack(pairs, pair_at, PAIR_BYTES), layout.unpack(words, word_at, WORD_BYTES)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), _binary(held.levels(keys, buckets), lengths // 6),
-                 _binary(held.counts(keys[words]).astype("<i8"), 8 * np.bincount(row[words], minlength=len(lengths)))],
-                names=["slice", "bucket", "levels", "counts"])
+                [batch.column(0), batch.column(1), _binary(held.levels(pairs | _PAIR_MARK, pair_at), n_pairs),
+                 _binary(held.levels(words, word_at), n_words), _binary(held.counts(words).astype("<i8"), 8 * n_words)],
+                names=["slice", "bucket", "pairs", "words", "word_counts"])
 
-    return asked.select("slice", "bucket", "keys").mapInArrow(run, ANSWERED)
+    return asked.select("slice", "bucket", "pairs", "words").mapInArrow(run, ANSWERED)
 
 
 def _score(layout: Layout, id_col: str, total: int):
     """Scores of the documents of one slice from the answers to it; ``total`` is N + V + 1."""
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        docs, answers = docs.combine_chunks(), answers.sort_by("bucket")
+        answers, n = answers.sort_by("bucket"), docs.num_rows
         tokens = tokenise(_texts(docs), layout)
-        keys = distinct_grams(tokens)
-        levels = _bytes(answers.column("levels"))[0].astype(np.int64)
-        counts = _bytes(answers.column("counts"))[0].view("<i8")
-        word_keys = keys[(keys & np.uint64(1)) == 0]
-        exact = counts[np.searchsorted(word_keys, tokens.words)]
-        word_levels = levels[np.searchsorted(keys, tokens.words)]
-        before = np.concatenate([tokens.word[-1:], tokens.word[:-1]])
-        pair_levels = np.minimum(levels[np.searchsorted(keys, tokens.pairs)],
-                                 np.minimum(word_levels[tokens.word], word_levels[before]))
-        likely = log_probability(word_levels[tokens.word], word_levels[before], pair_levels, total)
-        n = docs.num_rows
+        order = np.argsort(tokens.pairs)
+        ascending = tokens.pairs[order]
+        place = np.cumsum(np.concatenate([[0], ascending[1:] != ascending[:-1]]))
+        pair = np.empty(len(order), np.uint8)
+        pair[order] = _bytes(answers.column("pairs"))[0][place]
+        order = np.argsort(tokens.words)
+        words, exact = np.empty(len(order), np.uint8), np.empty(len(order), np.int64)
+        words[order] = _bytes(answers.column("words"))[0]
+        exact[order] = _bytes(answers.column("word_counts"))[0].view("<i8")
+        own, before = words[tokens.word], words[tokens.before()]
+        likely = log_probability(own, before, np.minimum(pair, np.minimum(own, before)), total)
+        base = np.log10((exact + 1.0) / total)
 
         def summed(values: np.ndarray) -> np.ndarray:
             return np.bincount(tokens.document, weights=values, minlength=n)
 
-        base = np.log10((exact + 1.0) / total)
-        n_tokens = np.bincount(tokens.document, minlength=n)
-        n_known = np.bincount(tokens.document[(exact > 0)[tokens.word]], minlength=n)
-        return pa.table({id_col: docs.column("id"), "trained": docs.column("trained"), "n_tokens": n_tokens,
-                         "n_known": n_known, "base_score": summed(base[tokens.word]), "score": summed(likely)})
+        return pa.table({id_col: docs.column("id"), "trained": docs.column("trained"),
+                         "n_tokens": np.bincount(tokens.document, minlength=n),
+                         "n_known": np.bincount(tokens.document[(exact > 0)[tokens.word]], minlength=n),
+                         "base_score": summed(base[tokens.word]), "score": summed(likely)})
 
     return run
 
@@ -364,7 +404,7 @@ def score_documents(docs: DataFrame, trained: Column, id_col: str = "doc_id", te
     dealt = picked.withColumn("slice", F.pmod(F.xxhash64("id", "text"), F.lit(layout.slices)))
     sent = dealt.groupBy("slice").applyInArrow(_send(layout), SENT)
     kept = work.table(sent.groupBy("bucket").applyInArrow(_keep(layout), KEPT), by="zone")
-    totals = kept.where("slice < 0").agg(F.sum("n_tokens"), F.sum("n_words")).first()
+    totals = kept.where("slice < 0").agg(F.sum("n_tokens"), F.sum(F.expr(f"octet_length(words) div {WORD_BYTES}"))).first()
     n_tokens, n_words = (v or 0 for v in totals)
 
     answers = None
