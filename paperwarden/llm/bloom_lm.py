@@ -14,7 +14,8 @@ n-gram's hash names; there the counts of all slices are added up and entered in
 distinct words are listed with their exact counts for the unigram base score. The filter grows with the corpus and is
 broadcast zone by zone: a zone is a range of buckets whose parts, of at most some three and in practice a third of
 ``ZONE_BYTES``, go to all workers, which probe them for the n-grams that the slices sent to these buckets. Each n-gram
-of a slice meets one zone only, so all work and space is in proportion to the texts. The answers go back to the slices,
+of a slice meets one zone only, so all work and space is in proportion to the texts (which are tokenised once for each
+of ``ROUNDS`` shares of the zones, and once to be scored). The answers go back to the slices,
 which score their documents.
 
 Defined cases: a null text counts as empty; an empty text is its end alone; texts are read whole, whatever their
@@ -26,6 +27,7 @@ are kept. Columns beyond the named ones are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,8 @@ from paperwarden.operators.scale import workspace
 #: Bytes of text a slice, a bucket and a zone stand for, and the least numbers of slices and buckets.
 SLICE_BYTES, BUCKET_BYTES, ZONE_BYTES = 4 << 20, 16 << 20, 128 << 20
 MIN_SLICES, MIN_BUCKETS = 256, 1024
+#: Rounds in which the n-grams are sent, a share of the zones in each, so that they are never all on disk.
+ROUNDS = 2
 #: Bits of the filter per entry. An entry sets two patterns of PATTERN_BITS bits in one 64-bit word.
 BITS_PER_ENTRY, PATTERN_BITS = 20, 3
 #: Weight of the unigram probability, as a count.
@@ -93,7 +97,7 @@ def pack(keys: np.ndarray, width: int) -> np.ndarray:
 def choose_layout(text_bytes: int) -> Layout:
     buckets = max(MIN_BUCKETS, -(-text_bytes // BUCKET_BYTES))
     return Layout(max(MIN_SLICES, -(-text_bytes // SLICE_BYTES)), (buckets - 1).bit_length(),
-                  max(1, -(-text_bytes // ZONE_BYTES)))
+                  max(ROUNDS, -(-text_bytes // ZONE_BYTES)))
 
 
 @dataclass
@@ -172,14 +176,16 @@ def counted_pairs(tokens: Tokens, trained: np.ndarray) -> tuple[np.ndarray, np.n
     return keys[first], np.add.reduceat((flagged & np.uint64(1)).astype(np.int32), first)
 
 
-def _send(layout: Layout):
-    """The n-grams of one slice, with their counts in training texts, to their buckets."""
+def _send(layout: Layout, zones: range):
+    """The n-grams of one slice, with their counts in training texts, to their buckets in some zones."""
     every = np.arange(1 << layout.bucket_bits)
+    zone = layout.zone(every)
+    every = every[(zone >= zones.start) & (zone < zones.stop)]
 
-    def cut(keys: np.ndarray, width: int) -> np.ndarray:
-        """How many of the ascending keys each bucket gets."""
-        starts = np.searchsorted(layout.buckets(keys, width), every)
-        return np.diff(np.append(starts, len(keys)))
+    def cut(keys: np.ndarray, width: int) -> tuple[slice, np.ndarray]:
+        """The place of these buckets' keys among all ascending ones, and how many each bucket gets."""
+        starts = np.searchsorted(layout.buckets(keys, width), np.append(every, every[-1:] + 1))
+        return slice(starts[0], starts[-1]), np.diff(starts)
 
     def run(table: pa.Table) -> pa.Table:
         trained = table.column("trained").to_numpy()
@@ -188,7 +194,9 @@ def _send(layout: Layout):
         word_counts = np.bincount(tokens.word[trained[tokens.document]], minlength=len(tokens.words))
         order = np.argsort(tokens.words)
         words, word_counts = tokens.words[order], word_counts[order]
-        n_pairs, n_words = cut(pairs, PAIR_BYTES), cut(words, WORD_BYTES)
+        (pair_place, n_pairs), (word_place, n_words) = cut(pairs, PAIR_BYTES), cut(words, WORD_BYTES)
+        pairs, pair_counts = pairs[pair_place], pair_counts[pair_place]
+        words, word_counts = words[word_place], word_counts[word_place]
         some = (n_pairs + n_words) > 0
         n_pairs, n_words = n_pairs[some], n_words[some]
         return pa.table({"slice": np.full(len(n_pairs), table.column("slice")[0].as_py()), "bucket": every[some],
@@ -402,22 +410,20 @@ def score_documents(docs: DataFrame, trained: Column, id_col: str = "doc_id", te
                          F.coalesce(docs[text_col], F.lit("")).alias("text"))
     layout = choose_layout(picked.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     dealt = picked.withColumn("slice", F.pmod(F.xxhash64("id", "text"), F.lit(layout.slices)))
-    sent = dealt.groupBy("slice").applyInArrow(_send(layout), SENT)
-    kept = work.table(sent.groupBy("bucket").applyInArrow(_keep(layout), KEPT), by="zone")
-    totals = kept.where("slice < 0").agg(F.sum("n_tokens"), F.sum(F.expr(f"octet_length(words) div {WORD_BYTES}"))).first()
-    n_tokens, n_words = (v or 0 for v in totals)
-
-    answers = None
-    for number in range(layout.zones):
-        own = kept.where(F.col("zone") == number)
-        zone = _gather_zone(own.where("slice < 0"), layout)
-        if zone is None:
-            continue
-        found = work.table(_answers(own.where("slice >= 0"), zone, layout))
-        answers = found if answers is None else answers.unionByName(found)
-    if answers is None:
-        answers = spark.createDataFrame([], ANSWERED)
-    work.drop(kept)
+    answers, n_tokens, n_words = [], 0, 0
+    for turn in range(ROUNDS):
+        zones = range(layout.zones * turn // ROUNDS, layout.zones * (turn + 1) // ROUNDS)
+        sent = dealt.groupBy("slice").applyInArrow(_send(layout, zones), SENT)
+        kept = work.table(sent.groupBy("bucket").applyInArrow(_keep(layout), KEPT), by="zone")
+        known = kept.where("slice < 0").agg(F.sum("n_tokens"), F.sum(F.expr(f"octet_length(words) div {WORD_BYTES}"))).first()
+        n_tokens, n_words = n_tokens + (known[0] or 0), n_words + (known[1] or 0)
+        for number in zones:
+            own = kept.where(F.col("zone") == number)
+            zone = _gather_zone(own.where("slice < 0"), layout)
+            if zone:
+                answers.append(work.table(_answers(own.where("slice >= 0"), zone, layout)))
+        work.drop(kept)
+    answers = reduce(DataFrame.unionByName, answers) if answers else spark.createDataFrame([], ANSWERED)
     kind = picked.schema["id"].dataType.simpleString()
     scored = dealt.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(
         _score(layout, id_col, n_tokens + n_words + 1),
