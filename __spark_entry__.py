@@ -17,9 +17,11 @@ from paperwarden.functions.fixed_values import FEATURE_NAMES  # noqa: E402
 from paperwarden.functions.text import digit_count  # noqa: E402
 from paperwarden.operators import (baseline, extract, features, forest, neardup, percentiles, profiles,  # noqa: E402
                                    reasons, rules, scaling, vendors)
-from paperwarden.operators.scale import materialise  # noqa: E402
+from paperwarden.operators.scale import materialise, workspace  # noqa: E402
 from paperwarden.plans import pipeline  # noqa: E402
 from paperwarden.sources.documents import normalise_text, rejects  # noqa: E402
+from paperwarden.sources.history import read_history_checked  # noqa: E402
+from paperwarden.sources.reports import read_batches, write_batch  # noqa: E402
 
 try:  # the training-data operators are a part that can be left out
     import corpus_pipeline  # noqa: E402
@@ -118,6 +120,22 @@ def rejected_paths(spark, sf_dir):
     return rejects(spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.col("url").alias("path")))
 
 
+@functools.lru_cache(maxsize=4)
+def _checked_history(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Past invoices written out as lines, some of them broken, and read back."""
+    lines = f"{workspace(spark).path}/lines"
+    tables.history_lines(spark, sf_dir).write.text(lines)
+    return read_history_checked(spark, lines, header=False)
+
+
+def history_csv(spark, sf_dir):
+    return _checked_history(spark, sf_dir)[0]
+
+
+def history_rejects(spark, sf_dir):
+    return _checked_history(spark, sf_dir)[1].drop("path")
+
+
 # --- baselines and features ----------------------------------------------------------------
 
 
@@ -133,11 +151,21 @@ def global_profile(spark, sf_dir):
         "latest_date", "invoice_count")
 
 
+def merged_profiles(spark, sf_dir):
+    """Vendor profiles of two halves of the history, merged."""
+    past = tables.history(spark, sf_dir)
+    late = F.year("invoice_date") % 2 == 0
+    whole = profiles.history_profile(past.where(late)).merge(profiles.history_profile(past.where(~late)))
+    return whole.vendors().select(
+        "vendor_name", F.round("amount_mean", 4).alias("amount_mean"), F.round("amount_std", 4).alias("amount_std"),
+        "typical_terms", "typical_net_days", "invoice_count")
+
+
 def known_keys(spark, sf_dir):
     past = tables.history(spark, sf_dir)
-    return (profiles.known_invoice_numbers(past).select(F.lit("invoice_number").alias("kind"),
-                                                        F.col("invoice_number").alias("key"))
-            .unionAll(profiles.known_vendors(past).select(F.lit("vendor_name"), "vendor_name"))
+    known = profiles.history_profile(past)
+    return (known.numbers.select(F.lit("invoice_number").alias("kind"), F.col("invoice_number").alias("key"))
+            .unionAll(known.known_vendors().select(F.lit("vendor_name"), "vendor_name"))
             .unionAll(profiles.invoice_numbers_by_vendor(past).select(
                 F.lit("vendor_invoice"), F.concat_ws("|", "vendor_name", "invoice_number"))))
 
@@ -331,6 +359,16 @@ def summary_lines(spark, sf_dir):
     return reasons.summary_lines(reasons.report(_with_reasons(spark, sf_dir), ml=False))
 
 
+def report_batches(spark, sf_dir):
+    """Reports written as two batches, one of them first with rows that do not belong to it, and read back."""
+    reports = materialise(reasons.report(_with_reasons(spark, sf_dir), ml=False))
+    odd = F.split("doc_id", "-")[1].cast("long") % 2 == 1
+    path = f"{workspace(spark).path}/reports"
+    for batch, rows in ((0, reports), (0, reports.where(~odd)), (1, reports.where(odd))):
+        write_batch(rows, path, batch)
+    return read_batches(spark, path).select("doc_id", "risk_level", "batch")
+
+
 def detection_table(spark, sf_dir):
     labels = _new_invoices(spark, sf_dir).select(
         F.col("doc_id").alias("filename"), F.col("kind").alias("ground_truth_note"))
@@ -341,11 +379,21 @@ def full_report(spark, sf_dir):
     return _model(spark, sf_dir).score(_new_invoices(spark, sf_dir), tables.REFERENCE_DATE)
 
 
+def fixed_report(spark, sf_dir):
+    """The whole report with the hand-written forest, over the arriving invoices and those that were sent twice."""
+    batch = materialise(tables.with_resent(_new_invoices(spark, sf_dir).drop("kind")))
+    model = pipeline.DocumentModel(_baseline(spark, sf_dir), _small_forest(spark, sf_dir))
+    found = model.score(batch, tables.REFERENCE_DATE)
+    return found.select("doc_id", "risk_level", "ml_anomaly_score", "ml_anomaly_percentile", "extracted_fields.*",
+                        F.array_join("reasons.message", " | ").alias("messages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "extract_fields": extract_fields, "extract_phrases": extract_phrases, "clean_dates": clean_dates,
-        "clean_money": clean_money, "text_sources": text_sources, "rejects": rejected_paths,
-        "vendor_profiles": vendor_profiles, "global_profile": global_profile, "known_keys": known_keys,
+        "clean_money": clean_money, "text_sources": text_sources, "rejects": rejected_paths, "history_csv": history_csv, "history_rejects": history_rejects,
+        "vendor_profiles": vendor_profiles, "merged_profiles": merged_profiles,
+        "global_profile": global_profile, "known_keys": known_keys,
         "doc_features": doc_features, "history_features": history_features, "scaler_stats": scaler_stats,
         "feature_medians": feature_medians,
         "rule_missing": _rule(rules.missing_rule),
@@ -364,8 +412,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fixed_forest_scores": fixed_forest_scores, "fixed_forest_attributions": fixed_forest_attributions,
         "percentiles": score_percentiles,
         "ml_reasons": ml_reasons, "risk_levels": risk_levels, "combined_risk": combined_risk,
-        "reasons": reason_rows, "rule_report": rule_report, "summary_lines": summary_lines,
+        "reasons": reason_rows, "rule_report": rule_report, "summary_lines": summary_lines, "report_batches": report_batches,
         "detection_table": detection_table, "full_report": full_report,
+        "fixed_report": fixed_report,
         **({**llm_queries.queries(), "pipeline": corpus_pipeline.run} if llm_queries else {}),
     }
 

@@ -116,3 +116,23 @@ def new_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The invoices that are not history, as documents with their kind."""
     arriving = invoices(spark, sf_dir).where(F.col("invoice_date") >= F.lit(HISTORY_END))
     return texts(printed(arriving, history(spark, sf_dir)))
+
+
+def history_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Past invoices as lines of values with commas between; some orders have broken lines."""
+    past = history(spark, sf_dir)
+    order = F.split("invoice_number", "/")[0].cast("long") % 50
+    amounts = [F.col(c).cast("decimal(18,2)").cast("string") for c in ("subtotal", "tax", "total_amount")]
+    line = F.concat_ws(",", "invoice_number", "vendor_name",
+                       F.when(order == 0, "soon").otherwise(F.col("invoice_date").cast("string")),
+                       F.col("due_date").cast("string"), "payment_terms", "po_number",
+                       F.when(order == 1, "n/a").otherwise(amounts[0]), amounts[1], F.when(order != 2, amounts[2]),
+                       F.when(order == 3, "one more"))
+    return past.select(line.alias("value"))
+
+
+def with_resent(docs: DataFrame) -> DataFrame:
+    """Documents, and those of every seventh order once more with a line at their end."""
+    again = docs.where(F.split("doc_id", "-")[1].cast("long") % 7 == 0)
+    return docs.unionByName(again.withColumns({
+        "doc_id": F.concat("doc_id", F.lit("-again")), "raw_text": F.concat("raw_text", F.lit("\nSecond sending"))}))

@@ -7,6 +7,11 @@ from paperwarden.functions import fixed_values as fv
 
 KINDS = "[" + ",".join(f"'{kind}'" for kind in invoice_tables.KINDS) + "]"
 
+# For every start in a, the length of the longest run of letters that b holds too.
+LONGEST = ("list_transform(range(1, length(a) + 1), lambda i: "
+           "len(list_filter(range(1, length(a) - i + 2), lambda k: contains(b, substr(a, i, k))))) AS runs")
+
+# ``alike`` rates every unknown name against every vendor: the longest common run, then the same left and right of it.
 INVOICES = """
 items AS (
   SELECT l_orderkey, l_suppkey, CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
@@ -68,14 +73,23 @@ docs AS (
       THEN chr(9) || chr(13) || chr(10) || replace(body, chr(10), chr(13) || chr(10)) ELSE body END AS raw_text
   FROM bodies),
 alike AS (
-  SELECT n.vendor_name, min(h.vendor_name) AS closest_vendor,
-    CASE WHEN n.vendor_name LIKE 'Suplier%' THEN 34 / 35 ELSE 34 / 36 END::DOUBLE AS ratio
-  FROM (SELECT DISTINCT vendor_name FROM said WHERE arriving) n JOIN (SELECT DISTINCT vendor_name FROM history) h ON
-    CASE WHEN n.vendor_name LIKE 'Suplier%' THEN h.vendor_name = replace(n.vendor_name, 'Suplier', 'Supplier')
-      WHEN n.vendor_name LIKE '%x' THEN h.vendor_name[:17] = n.vendor_name[:17]
-      WHEN n.vendor_name LIKE 'Supplier %' THEN h.vendor_name = replace(n.vendor_name, ' ', '#') ELSE false END
-  GROUP BY n.vendor_name)
-""".replace("KINDS", KINDS)
+  WITH RECURSIVE asked AS (
+    SELECT DISTINCT vendor_name FROM said WHERE arriving AND vendor_name NOT IN (SELECT vendor_name FROM history)),
+  parts AS (
+    SELECT n.vendor_name, h.vendor_name AS known, lower(n.vendor_name) AS a, lower(h.vendor_name) AS b, LONGEST
+    FROM asked n CROSS JOIN (SELECT DISTINCT vendor_name FROM history) h
+    UNION ALL
+    SELECT vendor_name, known, a, b, LONGEST FROM (
+      SELECT vendor_name, known, unnest([a[:i - 1], a[i + n:]]) AS a, unnest([b[:j - 1], b[j + n:]]) AS b
+      FROM (SELECT *, list_max(runs) AS n, list_position(runs, list_max(runs)) AS i,
+              instr(b, substr(a, list_position(runs, list_max(runs)), list_max(runs))) AS j FROM parts WHERE list_max(runs) > 0))
+    WHERE a <> '' AND b <> ''),
+  scored AS (
+    SELECT vendor_name, known, 2 * sum(list_max(runs)) / (length(vendor_name) + length(known)) AS ratio
+    FROM parts GROUP BY vendor_name, known)
+  SELECT vendor_name, known AS closest_vendor, ratio::DOUBLE AS ratio FROM scored
+  QUALIFY row_number() OVER (PARTITION BY vendor_name ORDER BY ratio DESC, known) = 1 AND ratio BETWEEN 0.8 AND 0.98 - 1e-12)
+""".replace("KINDS", KINDS).replace("LONGEST", LONGEST)
 
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -315,6 +329,53 @@ past_scores AS (SELECT score, count(*) AS n FROM (
   SELECT {small_forest.score_sql()} AS score FROM (SELECT {NUMBERED} FROM past_features)) GROUP BY score)"""
 
 
+def _fixed_report() -> str:
+    """Rules, small forest and near-duplicates of the arriving invoices and the resent ones.
+
+    Pairs are taken from terms of less than 200 documents; by the inequality of Cauchy and Schwarz a pair without such
+    a term can only reach 0.92 if the frequent terms of both documents make up as much of their lengths.
+    """
+    sent = """batch AS (SELECT doc_id, kind, arriving, raw_text FROM docs UNION ALL
+  SELECT doc_id || '-again', kind, arriving, raw_text || chr(10) || 'Second sending' FROM docs
+  WHERE arriving AND split_part(doc_id, '-', 2)::BIGINT % 7 = 0),
+alike AS (
+"""
+    checked = CHECKED.replace("alike AS (\n", sent, 1).replace("FROM docs),\nparsed", "FROM batch),\nparsed", 1)
+    terms = TERMS.replace("FROM documents", "FROM batch WHERE arriving").replace("coalesce(text, '')", "coalesce(raw_text, '')")
+    explained = "CASE f.feature " + " ".join(
+        f"WHEN '{n}' THEN '{t.replace("'", "''")}'" for n, t in fv.FEATURE_EXPLANATIONS.items()) + " END"
+    return f"""WITH {checked}{SMALL_FOREST[len(DOC_FEATURES):]},
+{terms},
+rare AS (SELECT doc_id, term FROM weights WHERE df < 200),
+plain AS (SELECT doc_id, sqrt(sum(weight * weight)) AS part FROM weights WHERE df >= 200 GROUP BY doc_id HAVING part >= 0.92),
+candidates AS (SELECT a.doc_id AS a, b.doc_id AS b FROM rare a JOIN rare b ON a.term = b.term AND a.doc_id < b.doc_id
+  UNION SELECT a.doc_id, b.doc_id FROM plain a JOIN plain b ON a.doc_id < b.doc_id),
+pairs AS (SELECT a, b, sum(x.weight * y.weight) AS similarity FROM candidates JOIN weights x ON x.doc_id = a
+  JOIN weights y ON y.doc_id = b AND y.term = x.term GROUP BY a, b HAVING sum(x.weight * y.weight) >= 0.92),
+near AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM (
+    SELECT a AS doc_id, b AS partner, similarity FROM pairs UNION ALL SELECT b, a, similarity FROM pairs)
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(similarity, 9) DESC, partner) = 1),
+model AS (SELECT doc_id, score, {small_forest.attributions_sql()}[1:3] AS top, (SELECT coalesce(sum(n), 0) FROM past_scores p
+    WHERE p.score < s.score)::DOUBLE / (SELECT sum(n) FROM past_scores)::DOUBLE * 100.0::DOUBLE AS percentile FROM scored s),
+messages AS (
+  SELECT doc_id, reason_no AS place, message FROM reasons WHERE source = 'rule'
+  UNION ALL SELECT doc_id, 1000 + place, {_message("pattern_deviation", explanation=explained, value="format('{:.2f}', f.value)",
+                                                   contribution="format('{:.2f}', f.contribution)")}
+    FROM (SELECT doc_id, place, top[place] AS f FROM (SELECT doc_id, top, unnest(range(1, 4)) AS place FROM model))
+    WHERE f.contribution > 0.05
+  UNION ALL SELECT doc_id, 2000, {_message("near_duplicate", percent="format('{:.0f}', similarity * 100)", other="partner")}
+    || CASE WHEN n > 1 THEN ' ' || {_message("near_duplicate_count", count="CAST(n AS VARCHAR)")} ELSE '' END FROM near),
+whole AS (SELECT r.doc_id, risk_weight + CASE WHEN percentile >= 95 THEN 2 WHEN percentile >= 85 THEN 1 ELSE 0 END
+    + CASE WHEN n IS NULL THEN 0 ELSE 2 END AS weight, score, percentile
+  FROM risks r JOIN model USING (doc_id) LEFT JOIN near USING (doc_id))
+SELECT doc_id, CASE WHEN weight <= 2 THEN 'Low' WHEN weight <= 5 THEN 'Medium' ELSE 'High' END AS risk_level,
+  round(score, 4) AS ml_anomaly_score, round(percentile, 1) AS ml_anomaly_percentile, vendor_name, invoice_number,
+  invoice_date, due_date, po_number, payment_terms, subtotal, tax, total_amount,
+  coalesce(messages, {_message("clean")}) AS messages
+FROM whole JOIN checked USING (doc_id)
+LEFT JOIN (SELECT doc_id, string_agg(message, ' | ' ORDER BY place) AS messages FROM messages GROUP BY doc_id) USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         "fixed_forest_scores": f"""WITH {SMALL_FOREST} SELECT doc_id, round(score, 6) AS score, round(
@@ -425,6 +486,19 @@ def oracle_sql() -> dict[str, str]:
             '[^/](\\.[^./]*)$', 1)) AS ext, 'Unsupported file type: ' ||
             lower(regexp_extract(regexp_extract(url, '([^/]+)$', 1), '[^/](\\.[^./]*)$', 1)) AS reason FROM pages""",
     }
+    sql["history_csv"] = f"""WITH {INVOICES} SELECT invoice_number, vendor_name, invoice_date, due_date, payment_terms,
+        po_number, subtotal, tax, total_amount FROM history WHERE order_key % 50 > 3"""
+    sql["history_rejects"] = f"""WITH {INVOICES}, told AS (SELECT order_key % 50 AS k, invoice_number || ',' || vendor_name
+          || ',' || CASE WHEN k = 0 THEN 'soon' ELSE invoice_date::VARCHAR END || ',' || due_date || ',' || payment_terms
+          || ',' || po_number || ',' || CASE WHEN k = 1 THEN 'n/a' ELSE subtotal::DECIMAL(18,2)::VARCHAR END
+          || ',' || tax::DECIMAL(18,2) || CASE WHEN k = 2 THEN '' ELSE ',' || total_amount::DECIMAL(18,2) END
+          || CASE WHEN k = 3 THEN ',one more' ELSE '' END AS line FROM history WHERE order_key % 50 <= 3)
+        SELECT line, CASE k WHEN 0 THEN 'invoice_date: soon' WHEN 1 THEN 'subtotal: n/a' ELSE 'wrong number of values' END
+          AS reason FROM told"""
+    sql["report_batches"] = f"""WITH {CHECKED} SELECT doc_id, risk_level,
+        CAST(split_part(doc_id, '-', 2)::BIGINT % 2 AS INT) AS batch FROM risks"""
+    sql["fixed_report"] = _fixed_report()
+    sql["merged_profiles"] = sql["vendor_profiles"]
     for name in ("missing", "date_format", "date_logic", "arithmetic", "round", "conflict"):
         sql[f"rule_{name}"] = _rule_query(name)
     for name, category in (("outlier", "amount_outlier"), ("duplicate", "duplicate"),

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from . import profiles as pr
+from .profiles import HistoryProfile, history_profile
 from .scale import broadcast_if_small, materialise
 
 
@@ -15,25 +15,30 @@ from .scale import broadcast_if_small, materialise
 class Baseline:
     """Lookup tables of one history. The global profile is one row, so it is held as values."""
 
+    profile: HistoryProfile
     vendors: DataFrame
-    invoice_numbers: DataFrame
     amount_mean: float | None
     amount_std: float | None
     latest_date: datetime.date | None
     invoice_count: int
 
+    @property
+    def invoice_numbers(self) -> DataFrame:
+        return self.profile.numbers
+
     def vendor_lookup(self) -> DataFrame:
         return broadcast_if_small(self.vendors)
 
+    def merge(self, other: "Baseline") -> "Baseline":
+        """The baseline of both histories, without reading either again."""
+        return from_profile(self.profile.merge(other.profile))
+
+
+def from_profile(profile: HistoryProfile) -> Baseline:
+    """The lookups that follow from a profile, written so that every later job reuses them."""
+    return Baseline(profile, materialise(profile.vendors()), **profile.overall().asDict())
+
 
 def fit_baseline(history: DataFrame) -> Baseline:
-    """Aggregate ``history`` once; the tables are written so that every later job reuses them."""
-    overall = pr.global_profile(history).first()
-    return Baseline(
-        vendors=materialise(pr.vendor_profiles(history)),
-        invoice_numbers=materialise(pr.known_invoice_numbers(history)),
-        amount_mean=overall["amount_mean"],
-        amount_std=overall["amount_std"],
-        latest_date=overall["latest_date"],
-        invoice_count=overall["invoice_count"],
-    )
+    """Scan ``history`` once."""
+    return from_profile(history_profile(history))

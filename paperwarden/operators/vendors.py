@@ -1,18 +1,17 @@
 """Look-alike vendor names: the best fuzzy match of an unknown name among the known ones.
 
-The similarity is the Ratcliff-Obershelp ratio 2M / (la + lb) of the lower-cased names.
-Pairs are found without comparing every name with every vendor. A ratio of at least
-``low`` means M matched characters with 2M >= low * S, S = la + lb, and then
-
-* the lengths obey 2 * min(la, lb) >= low * S;
-* the edit distance is at most S - 2M <= (1 - low) * S;
-* with one end mark on both sides, the names share at least 3M - S + 1 two-letter grams,
-  because an unmatched letter breaks two grams and an insertion one. So a known name may
-  leave out all but its (grams - shared + 1) rarest grams and still meets every match.
-
-The bounds are ordinary join and filter conditions, applied before a pair is written; only pairs that can still win
-reach Python. The search goes down in levels: a name with a match at a level is done, since no lower pair can beat
-it, and only the others go on to the next level, where the bounds are wider.
+The similarity is the Ratcliff-Obershelp ratio 2M / S of the lower-cased names, S being both lengths together. Pairs
+are found without comparing every name with every vendor, in two passes over one kind of candidates each:
+
+* Few edits: a name that differs from a vendor by at most ``EDITS`` letters left out or put in leaves one of
+  ``EDITS`` + 1 equal parts of the vendor whole, at most ``EDITS`` places away. A match found this way is the best one if
+  it beats what any other vendor could reach, which is at least one edit further away: ``1 - (EDITS + 1) / S``.
+* All others: a ratio of r means M matched letters with 2M >= r * S; with one end mark on both sides the names then share
+  at least 3M - S + 1 two-letter grams, because an unmatched letter breaks two grams and an insertion one. So a vendor may
+  leave out all but its (grams - shared + 1) rarest grams. r is what the first pass found for the name, or ``low``.
+
+A candidate carries a bound of its ratio, from the lengths, the edit distance and the letters that both names have. Per
+name the pair with the best bound is rated first; only pairs whose bound reaches that rating are rated after it.
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ from ..functions.fixed_values import VENDOR_SIMILARITY_HIGH, VENDOR_SIMILARITY_L
 from .scale import broadcast_if_small, materialise
 
 SALTS = 16
-LEVELS = (0.97, 0.94, 0.90, 0.85)
+EDITS = 2
 _ROUNDING = 1e-9
 
 
@@ -36,46 +35,93 @@ def _grams(name: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(marked) - 1), lambda i: F.substring(marked, i, 2))
 
 
-def _shared_grams(total_length: Column, low: float) -> Column:
-    return F.ceil((1.5 * low - 1.0) * total_length + 1.0 - _ROUNDING)
+def _kept_grams(length: Column, low: Column | float) -> Column:
+    """How many of its rarest grams a vendor must keep to be met by every name with a ratio of at least ``low``."""
+    shortest_total = length + F.ceil(length * (low / (2.0 - low)) - _ROUNDING)
+    shared = F.ceil((1.5 * low - 1.0) * shortest_total + 1.0 - _ROUNDING)
+    return F.greatest((length + 1) - shared + 1, F.lit(1))
+
+
+def _lowered(known: DataFrame) -> DataFrame:
+    return (known.select(F.col("vendor_name").alias("known_vendor"), F.lower("vendor_name").alias("known_lower"))
+            .where(F.length("known_lower") > 0))
 
 
 def gram_index(known: DataFrame, low: float = VENDOR_SIMILARITY_LOW) -> DataFrame:
-    """(gram, known_vendor, known_lower): the rarest grams of every known vendor."""
-    names = (known.select(F.col("vendor_name").alias("known_vendor"), F.lower("vendor_name").alias("known_lower"))
-             .where(F.length("known_lower") > 0))
+    """(key, known_vendor, known_lower, place): the rarest grams of every known vendor, and how rare each is."""
+    names = _lowered(known)
     grams = names.select("*", F.explode_outer(_grams(F.col("known_lower"))).alias("gram"))
     frequency = grams.groupBy("gram").agg(F.count("*").alias("frequency"))
-    length = F.length("known_lower")
-    shortest_total = length + F.ceil(length * (low / (2.0 - low)) - _ROUNDING)
-    keep = (length + 1) - _shared_grams(shortest_total, low) + 1
     ranked = (grams.join(broadcast_if_small(frequency), "gram")
               .groupBy("known_vendor", "known_lower")
               .agg(F.array_sort(F.collect_list(F.struct("frequency", "gram"))).alias("grams")))
-    return ranked.select(
-        F.explode_outer(F.array_distinct(F.slice("grams", 1, F.greatest(keep, F.lit(1)).cast("int"))["gram"])).alias("gram"),
-        "known_vendor", "known_lower")
+    kept = F.slice("grams", F.lit(1), _kept_grams(F.length("known_lower"), low).cast("int"))["gram"]
+    return ranked.select("known_vendor", "known_lower", F.posexplode(kept).alias("place", "key")).groupBy(
+        "key", "known_vendor", "known_lower").agg(F.min("place").alias("place"))
+
+
+def _part(length: Column, number: Column) -> tuple[Column, Column]:
+    """Start from 0 and length of one of EDITS + 1 parts of a name."""
+    start, stop = (F.floor(length * n / (EDITS + 1)).cast("int") for n in (number, number + 1))
+    return start, stop - start
+
+
+def part_index(known: DataFrame) -> DataFrame:
+    """(key, known_vendor, known_lower): the parts of every known vendor, with its length and their number."""
+    names = _lowered(known).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(EDITS))))
+    start, size = _part(F.length("known_lower"), F.col("part"))
+    return names.select(F.concat_ws(" ", F.length("known_lower"), "part", F.substring("known_lower", start + 1, size)).alias("key"),
+                        "known_vendor", "known_lower")
+
+
+def _part_keys(names: DataFrame) -> DataFrame:
+    """``names`` with the ``key`` of every part that a vendor within EDITS edits could have."""
+    la = F.length("lower_name")
+    rows = names.withColumn("_length", F.explode(F.sequence(F.greatest(la - EDITS, F.lit(1)), la + EDITS)))
+    rows = rows.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(EDITS))))
+    rows = rows.withColumn("_shift", F.explode(F.sequence(F.lit(-EDITS), F.lit(EDITS))))
+    start, size = _part(F.col("_length"), F.col("_part"))
+    start = start + F.col("_shift")
+    rows = rows.where((start >= 0) & (start + size <= la))
+    return rows.select(*names.columns, F.concat_ws(" ", "_length", "_part", F.substring("lower_name", start + 1, size)).alias("key")
+                       ).distinct()
+
+
+def _met(names: DataFrame, index: DataFrame) -> DataFrame:
+    """``names`` (with ``key``) next to the vendors of the same key."""
+    if broadcast_if_small(index) is not index:
+        return names.join(F.broadcast(index), "key")
+    # A frequent key is split over SALTS tasks.
+    salted = index.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    names = names.withColumn("salt", F.pmod(F.xxhash64("vendor_name"), F.lit(SALTS)).cast("int"))
+    return names.join(salted, ["key", "salt"]).drop("salt")
 
 
-def _candidates(names: DataFrame, index: DataFrame, small: bool, low: float, longest: int) -> DataFrame:
-    """(vendor_name, lower_name, known_vendor, known_lower, bound): each pair within the bounds once.
+def _common_letters(a: Column, b: Column) -> Column:
+    """Letters of ``a`` that ``b`` has too, each as often as in both: no fewer than any matching."""
+    letters = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(a)), lambda i: F.substring(a, i, 1)))
+
+    def times(text: Column, letter: Column) -> Column:
+        return F.length(text) - F.length(F.replace(text, letter, F.lit("")))
+
+    return F.aggregate(letters, F.lit(0), lambda n, c: n + F.least(times(a, c), times(b, c)))
+
+
+def _bounded(pairs: DataFrame, longest: int) -> DataFrame:
+    """(vendor_name, lower_name, known_vendor, known_lower, bound): each pair that may reach ``need`` once.
 
     ``longest`` is the largest sum of two lengths; the edit distance stops counting beyond what it allows.
     """
-    grams = names.select("*", F.explode_outer(F.array_distinct(_grams(F.col("lower_name")))).alias("gram"))
-    if small:
-        pairs = grams.join(F.broadcast(index), "gram")
-    else:  # a frequent gram is split over SALTS tasks
-        salted = index.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-        grams = grams.withColumn("salt", F.pmod(F.xxhash64("vendor_name"), F.lit(SALTS)).cast("int"))
-        pairs = grams.join(salted, ["gram", "salt"]).drop("salt")
     la, lb = F.length("lower_name"), F.length("known_lower")
     total = la + lb
-    pairs = pairs.where(2 * F.least(la, lb) >= low * total - _ROUNDING)
-    pairs = pairs.select("vendor_name", "lower_name", "known_vendor", "known_lower").distinct()
-    edits = F.levenshtein("lower_name", "known_lower", math.floor((1.0 - low) * longest + 1))
-    pairs = pairs.withColumn("edits", edits).where("edits >= 0").withColumn("bound", 1.0 - F.col("edits") / total)
-    return pairs.where(F.col("bound") >= low - _ROUNDING).drop("edits")
+    pairs = pairs.where(2 * F.least(la, lb) >= F.col("need") * total - _ROUNDING)
+    pairs = pairs.select("vendor_name", "lower_name", "need", "known_vendor", "known_lower").distinct()
+    edits = F.levenshtein("lower_name", "known_lower", longest)
+    pairs = pairs.withColumn("edits", edits).where(
+        (F.col("edits") >= 0) & (1.0 - F.col("edits") / total >= F.col("need") - _ROUNDING))
+    # A letter replaced by another is one edit, but neither of the two is matched.
+    bound = F.least(1.0 - F.col("edits") / total, 2.0 * _common_letters(F.col("lower_name"), F.col("known_lower")) / total)
+    return pairs.withColumn("bound", bound).where(F.col("bound") >= F.col("need") - _ROUNDING).drop("edits", "need")
 
 
 @F.pandas_udf(T.DoubleType())
@@ -96,41 +142,55 @@ def closest_vendors(names: DataFrame, known: DataFrame, low: float = VENDOR_SIMI
                .select("vendor_name", F.lower("vendor_name").alias("lower_name")))
     # Few names may still mean many pairs, so they are spread over all cores.
     unknown = materialise(unknown.repartition(unknown.sparkSession.sparkContext.defaultParallelism))
-    found = None
-    for level in [*(x for x in LEVELS if x > low), low]:
-        matched = materialise(_matches(unknown, known, level))
-        found = matched if found is None else found.unionByName(matched)
-        unknown = materialise(unknown.join(matched, "vendor_name", "left_anti"))
-        if unknown.isEmpty():
-            break
-    return found
-
-
-def _matches(unknown: DataFrame, known: DataFrame, low: float) -> DataFrame:
-    """The best match of every unknown name that has one of at least ``low``."""
+    total = F.length("lower_name") * 2
+    asked = _part_keys(unknown).withColumn("need", F.lit(low))
+    first = materialise(_best(_bounded(_met(asked, part_index(known)), EDITS), low))
+    done = first.join(unknown, "vendor_name").where(
+        F.col("vendor_similarity") > 1.0 - (EDITS + 1) / (total + EDITS + 1) + _ROUNDING).select(*first.columns)
+    rest = unknown.join(first.select("vendor_name", "vendor_similarity"), "vendor_name", "left").join(
+        done.select("vendor_name"), "vendor_name", "left_anti")
+    rest = materialise(rest.select("vendor_name", "lower_name", F.coalesce("vendor_similarity", F.lit(low)).alias("need")))
+    if rest.isEmpty():
+        return done
+    return done.unionByName(materialise(_best(_far(rest, known, low), low)))
+
+
+def _far(names: DataFrame, known: DataFrame, low: float) -> DataFrame:
+    """Candidates of names (vendor_name, lower_name, need) by shared grams."""
     shortest, longest = known.agg(F.min(F.length(F.lower("vendor_name"))),
                                   F.max(F.length(F.lower("vendor_name")))).first()
     reach = low / (2.0 - low)
     least, most = math.floor((shortest or 0) * reach), math.ceil((longest or 0) / reach)
-    unknown = unknown.where(F.length("lower_name").between(least, most))
+    names = names.where(F.length("lower_name").between(least, most))
     index = materialise(gram_index(known, low))
-    small = broadcast_if_small(index) is not index
-    pairs = materialise(_candidates(unknown, index, small, low, most + (longest or 0)))
+    grams = names.select("*", F.explode_outer(F.array_distinct(_grams(F.col("lower_name")))).alias("key"))
+    met = _met(grams, index).where(F.col("place") < _kept_grams(F.length("known_lower"), F.col("need")))
+    return _bounded(met, math.floor((1.0 - low) * (most + (longest or 0)) + 1))
+
+
+def _contenders(pairs: DataFrame, first: DataFrame) -> DataFrame:
+    """The candidates that could win against the first one (vendor_name, leader, reached).
 
+    Their bound is above its rating, or equal to it and they come before it in the alphabet. The leader is among them.
+    """
+    beyond = F.col("bound") > F.col("reached") + _ROUNDING
+    equal = (F.col("bound") >= F.col("reached") - _ROUNDING) & (F.col("known_vendor") < F.col("leader"))
+    return (pairs.join(first, "vendor_name").where(beyond | equal | (F.col("known_vendor") == F.col("leader")))
+            .select("vendor_name", "lower_name", "known_vendor", "known_lower"))
+
+
+def _best(pairs: DataFrame, low: float) -> DataFrame:
+    """(vendor_name, closest_vendor, vendor_similarity) of names with a candidate that reaches ``low``."""
     # The pair with the best upper bound first; its true ratio rules out most other pairs.
     first = pairs.groupBy("vendor_name", "lower_name").agg(
-        F.max(F.struct("bound", "known_vendor", "known_lower")).alias("best"))
-    first = first.select("vendor_name", _ratio("lower_name", "best.known_lower").alias("reached"))
-    rest = (pairs.join(first, "vendor_name")
-            .where(F.col("bound") >= F.col("reached") - _ROUNDING)
-            .select("vendor_name", "lower_name", "known_vendor", "known_lower"))
-    scored = rest.select("vendor_name", "known_vendor", _ratio("lower_name", "known_lower").alias("ratio"))
+        F.min(F.struct((-F.col("bound")).alias("bound"), "known_vendor", "known_lower")).alias("best"))
+    first = materialise(first.select("vendor_name", F.col("best.known_vendor").alias("leader"),
+                                     _ratio("lower_name", "best.known_lower").alias("reached")))
+    scored = _contenders(pairs, first).select("vendor_name", "known_vendor", _ratio("lower_name", "known_lower").alias("ratio"))
     best = scored.groupBy("vendor_name").agg(
         F.min(F.struct((-F.col("ratio")).alias("ratio"), "known_vendor")).alias("best"))
-    return best.select(
-        "vendor_name", F.col("best.known_vendor").alias("closest_vendor"),
-        (-F.col("best.ratio")).alias("vendor_similarity"),
-    ).where(F.col("vendor_similarity") >= low)
+    return best.select("vendor_name", F.col("best.known_vendor").alias("closest_vendor"),
+                       (-F.col("best.ratio")).alias("vendor_similarity")).where(F.col("vendor_similarity") >= low)
 
 
 def lookalike_vendors(names: DataFrame, known: DataFrame) -> DataFrame:

@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 import datetime
-import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import fixed_values as fv
-from ..operators.baseline import Baseline, fit_baseline
+from ..operators.baseline import Baseline, fit_baseline, from_profile
 from ..operators.extract import extract_fields
 from ..operators.features import add_features, history_features
 from ..operators.forest import ForestModel, fit_forest
 from ..operators.neardup import NearDuplicates, find_near_duplicates
+from ..operators.profiles import HistoryProfile
 from ..operators.reasons import add_reasons, near_dup_reasons, report
 from ..operators.rules import mark_known_numbers, run_rules
 from ..operators.scale import materialise
@@ -63,22 +63,15 @@ class DocumentModel:
         return report(add_reasons(scored, near_dups=found))
 
     def save(self, path: str) -> None:
-        spark = self.baseline.vendors.sparkSession
-        self.baseline.vendors.write.mode("overwrite").parquet(f"{path}/vendors")
-        self.baseline.invoice_numbers.write.mode("overwrite").parquet(f"{path}/invoice_numbers")
-        overall = json.dumps([self.baseline.amount_mean, self.baseline.amount_std,
-                              self.baseline.latest_date and self.baseline.latest_date.isoformat(),
-                              self.baseline.invoice_count])
-        spark.createDataFrame([(overall,)], "value string").coalesce(1).write.mode("overwrite").text(
-            f"{path}/overall")
-        self.forest.save(spark, f"{path}/forest")
+        profile = self.baseline.profile
+        profile.moments.write.mode("overwrite").parquet(f"{path}/moments")
+        profile.numbers.write.mode("overwrite").parquet(f"{path}/invoice_numbers")
+        self.forest.save(self.baseline.vendors.sparkSession, f"{path}/forest")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "DocumentModel":
-        mean, std, latest, count = json.loads(spark.read.text(f"{path}/overall").first()[0])
-        baseline = Baseline(spark.read.parquet(f"{path}/vendors"), spark.read.parquet(f"{path}/invoice_numbers"),
-                            mean, std, latest and datetime.date.fromisoformat(latest), count)
-        return DocumentModel(baseline, ForestModel.load(spark, f"{path}/forest"))
+        profile = HistoryProfile(spark.read.parquet(f"{path}/moments"), spark.read.parquet(f"{path}/invoice_numbers"))
+        return DocumentModel(from_profile(profile), ForestModel.load(spark, f"{path}/forest"))
 
 
 def fit(history: DataFrame, text_col: str | None = None, trees: int = fv.FOREST_TREES,

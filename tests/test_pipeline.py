@@ -1,5 +1,7 @@
 import datetime
 import json
+import random
+import statistics
 
 import numpy as np
 import pytest
@@ -174,3 +176,115 @@ def test_profiles_on_edges(spark):
     assert (found["two"].typical_terms, found["two"].typical_net_days) == ("A15", 15)
     assert (found["none"].typical_terms, found["none"].typical_net_days) == (None, None)
     assert profiles.global_profile(past).first().invoice_count == 6
+
+
+def test_merged_baseline_is_that_of_the_whole_history(spark):
+    rng = random.Random(4)
+    days = [datetime.date(2025, 1, 1) + datetime.timedelta(days=k) for k in range(300)]
+    rows = [(f"N{k}", rng.choice(["Ash", "Beech", "Cedar", None]), rng.choice(days), None, rng.choice(["NET30", "NET15", None]),
+             "p", 1.0, 0.0, rng.choice([None, 1e6, 1e6 + rng.random()])) for k in range(400)]
+    rows += [("M1", "Alone", days[0], None, None, "p", 1.0, 0.0, 5.0), ("M2", "Same", days[0], None, "X", "p", 1.0, 0.0, 123456.78),
+             ("M3", "Same", days[1], None, "Y", "p", 1.0, 0.0, 123456.78), (None, "Same", days[1], None, "Y", "p", 1.0, 0.0, 123456.78)]
+    past = spark.createDataFrame(rows, pw.sources.history.HISTORY_SCHEMA)
+    half = F.crc32(F.coalesce("invoice_number", F.lit(""))) % 2 == 0
+    whole = pw.fit_baseline(past)
+    merged = pw.fit_baseline(past.where(half)).merge(pw.fit_baseline(past.where(~half)))
+    merged = merged.merge(pw.fit_baseline(past.limit(0)))
+    expected = {r.vendor_name: r for r in whole.vendors.collect()}
+    found = {r.vendor_name: r for r in merged.vendors.collect()}
+    assert found.keys() == expected.keys() == {"Ash", "Beech", "Cedar", "Alone", "Same"}
+    for name, row in expected.items():
+        assert tuple(found[name])[3:] == tuple(row)[3:]
+        assert tuple(found[name])[1:3] == pytest.approx(tuple(row)[1:3], rel=1e-9)
+    values = [r[8] for r in rows if r[1] == "Ash" and r[8] is not None]
+    assert expected["Ash"].amount_std == pytest.approx(statistics.stdev(values), rel=1e-9)
+    assert expected["Same"].amount_std == 1e-6 and expected["Alone"].amount_std is None
+    assert (merged.amount_mean, merged.amount_std) == pytest.approx((whole.amount_mean, whole.amount_std), rel=1e-12)
+    assert (merged.latest_date, merged.invoice_count) == (whole.latest_date, 404)
+    assert sorted(merged.invoice_numbers.collect()) == sorted(whole.invoice_numbers.collect())
+
+
+def test_history_is_scanned_once(spark):
+    past = spark.createDataFrame([(str(k), "v", None, None, "NET30", "p", 1.0, 0.0, 9.0) for k in range(50)],
+                                 pw.sources.history.HISTORY_SCHEMA)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    pw.fit_baseline(past.mapInArrow(counted, past.schema))
+    assert read.value == 50
+
+
+def test_history_with_broken_rows(spark, tmp_path):
+    head = "invoice_number,vendor_name,invoice_date,due_date,payment_terms,po_number,subtotal,tax,total_amount\n"
+    (tmp_path / "a.csv").write_text(head + '1,"Ash, Elm & Co",2025-01-02,2025-02-01,NET30,P1,1.5,0.5,2.0\n'
+                                    "2,Beech,2025-13-02,2025-02-01,NET30,P1,1,0,1\n3,Cedar,2025-01-02\n"
+                                    "4,Dogwood,2025-01-02,,NET30,P1,1,0,1,extra\n005,Elder,,,,,,,\n"
+                                    "6,Fir,2025-01-02,2025-02-01,NET30,P1,one,0,two\n")
+    good, rejects = pw.read_history_checked(spark, str(tmp_path))
+    assert sorted((r.invoice_number, r.vendor_name, r.total_amount) for r in good.collect()) == [
+        ("005", "Elder", None), ("1", "Ash, Elm & Co", 2.0)]
+    found = {r.line.split(",")[0]: (r.reason, r.path.endswith("a.csv")) for r in rejects.collect()}
+    assert found == {"2": ("invoice_date: 2025-13-02", True), "3": ("wrong number of values", True),
+                     "4": ("wrong number of values", True), "6": ("subtotal: one", True)}
+    with pytest.raises(Exception):
+        pw.read_history(spark, str(tmp_path)).collect()
+    (tmp_path / "labels.csv").write_text("filename,ground_truth_note\na.txt,fine\nb.txt\n")
+    good, rejects = pw.read_labels_checked(spark, str(tmp_path / "labels.csv"))
+    assert [tuple(r) for r in good.collect()] == [("a.txt", "fine")] and [r.line for r in rejects.collect()] == ["b.txt"]
+
+
+def test_batches_replace_themselves(spark, tmp_path):
+    def rows(*levels):
+        return spark.createDataFrame([(f"d{k}", level) for k, level in enumerate(levels)], "doc_id string, risk_level string")
+
+    path = str(tmp_path / "reports")
+    assert pw.write_batch(rows("High", "Low", "Low"), path, 1) == 3
+    pw.write_batch(rows("Medium"), path, 2)
+    pw.write_batch(rows("Low"), path, 1)
+    pw.write_batch(rows().limit(0), path, 3)
+    assert sorted((r.batch, r.doc_id, r.risk_level) for r in pw.read_batches(spark, path).collect()) == [
+        (1, "d0", "Low"), (2, "d0", "Medium")]
+    rows("Low", "Low").write.mode("append").partitionBy("risk_level").parquet(f"{path}/batch=2")
+    with pytest.raises(OSError, match="batch 2"):
+        pw.read_batches(spark, path)
+
+
+def test_checks_reach_across_micro_batches(spark, model, tmp_path):
+    first = {"a.txt": invoice_text(number="S-1"), "b.txt": invoice_text(vendor="Tarn Optics", number="S-2", subtotal=810.4)}
+    second = {"c.txt": invoice_text(number="S-1"), "d.txt": invoice_text(vendor="Oxbow Cold Storage", number="S-9", subtotal=99.9)}
+    folder = tmp_path / "docs"
+    folder.mkdir()
+
+    def arrive(docs):
+        for name, text in docs.items():
+            (folder / name).write_text(text)
+        source = spark.readStream.schema("value string").text(str(folder), wholetext=True).select(
+            F.col("_metadata.file_name").alias("doc_id"), F.col("value").alias("raw_text"))
+        query = pw.score_stream(source, model, TODAY, str(tmp_path / "out"), str(tmp_path / "progress"), available_now=True,
+                                index=str(tmp_path / "index"))
+        query.awaitTermination(180)
+        assert query.exception() is None
+
+    def reasons_of(doc):
+        row = spark.read.json(str(tmp_path / "out")).where(F.col("doc_id") == doc).first()
+        return {r.category for r in row.reasons}
+
+    arrive(first)
+    assert not {"duplicate", "near_duplicate"} & reasons_of("a.txt")
+    arrive(second)
+    assert {"duplicate", "near_duplicate"} <= reasons_of("c.txt")
+    assert not {"duplicate", "near_duplicate"} & reasons_of("d.txt")
+
+    from paperwarden.operators import neardup
+    from paperwarden.streaming.index import DocumentIndex
+    index = DocumentIndex(spark, str(tmp_path / "index"))
+    every = spark.createDataFrame([*first.items(), *second.items()], "doc_id string, raw_text string")
+    expected = neardup.partner_summary(neardup.find_near_duplicates(every)).collect()
+    assert sorted(neardup.partner_summary(index.near_duplicates(1, "string")).collect()) == sorted(expected) != []
+    again = spark.createDataFrame(list(second.items()), "doc_id string, raw_text string")
+    index.add(1, again, pw.extract_fields(again))
+    assert sorted(neardup.partner_summary(index.near_duplicates(1, "string")).collect()) == sorted(expected)

@@ -25,6 +25,14 @@ def test_query(spark, connection, name):
         assert difference(rows, connection.sql(sql).df()) is None
 
 
+@pytest.mark.parametrize("name", ["vendor_lookalikes", "rule_lookalike", "flags_long", "reasons", "rule_report"])
+def test_query_with_many_vendors(spark, name):
+    """Ties between vendors first come up with a hundred of them."""
+    larger = "/root/testdata/sf0.01"
+    rows = entry.queries()[name](spark, larger).toPandas()
+    assert difference(rows, duck(larger).sql(entry.oracle_sql()[name]).df()) is None
+
+
 def test_entry(spark):
     rows = entry.entry(spark).collect()
     assert rows and rows[0].risk_level == "High"

@@ -52,6 +52,45 @@ def test_same_as_comparing_all(spark, monkeypatch, broadcast_bytes, low):
     assert {r.vendor_name: (r.closest_vendor, r.vendor_similarity) for r in rows} == brute_force(unknown, known, low)
 
 
+def shapes():
+    """300 vendors, and names with two letters gone, with a word in front, and with an unread last digit."""
+    rng = random.Random(11)
+    parts = ["amber", "bolt", "cedar", "dune", "ember", "flint", "grove", "harbor", "iron", "juniper", "kelp", "larch", "moss"]
+    known = sorted({" ".join(rng.sample(parts, 3)) for _ in range(500)})[:300]
+    gone = []
+    for name in known:
+        a, b = sorted(rng.sample(range(len(name)), 2))
+        gone.append(name[:a] + name[a + 1:b] + name[b + 1:])
+    numbered = [f"Trader#{k:09d}" for k in range(1, 301)]
+    return {"gone": (gone, known), "front": ([f"the {n}" for n in known], known),
+            "digit": (sorted({n[:-1] + "x" for n in numbered}), numbered)}
+
+
+@pytest.mark.parametrize("shape", ["gone", "front", "digit"])
+def test_few_pairs_are_rated(spark, monkeypatch, shape):
+    unknown, known = shapes()[shape]
+    rated = spark.sparkContext.accumulator(0)
+    contenders = vendors._contenders
+
+    def counted(pairs, first):
+        rated.add(contenders(pairs, first).count())
+        return contenders(pairs, first)
+
+    monkeypatch.setattr(vendors, "_contenders", counted)
+    rows = vendors.closest_vendors(spark.createDataFrame([(n,) for n in unknown], "vendor_name string"),
+                                   spark.createDataFrame([(n,) for n in known], "vendor_name string")).collect()
+    assert {r.vendor_name: (r.closest_vendor, r.vendor_similarity) for r in rows} == brute_force(unknown, known, 0.8)
+    assert rated.value <= 0.05 * len(unknown) * len(known)
+
+
+def test_letters_beyond_the_basic_plane(spark):
+    known = ["\U0001F600\U0001F601 Bäckerei Ömer", "İstanbul Tekstil"]
+    unknown = ["\U0001F600\U0001F602 Bäckerei Ömer", "İstanbul Teksil", "x"]
+    rows = vendors.closest_vendors(spark.createDataFrame([(n,) for n in unknown], "vendor_name string"),
+                                   spark.createDataFrame([(n,) for n in known], "vendor_name string")).collect()
+    assert {r.vendor_name: r.closest_vendor for r in rows} == {u: k for u, (k, _) in brute_force(unknown, known, 0.8).items()}
+
+
 def test_case_only_difference_is_no_lookalike(spark):
     known = spark.createDataFrame([("Brindle Paper Works",)], "vendor_name string")
     asked = spark.createDataFrame([("BRINDLE PAPER WORKS",), ("Brindle Papre Works",)], "vendor_name string")
