@@ -35,10 +35,10 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paperwarden.operators.scale import workspace
+from paperwarden.operators.scale import Workspace, workspace
 
 #: Bytes of text a slice, a bucket and a zone stand for, and the least numbers of slices and buckets.
-SLICE_BYTES, BUCKET_BYTES, ZONE_BYTES = 4 << 20, 16 << 20, 128 << 20
+SLICE_BYTES, BUCKET_BYTES, ZONE_BYTES = 4 << 20, 16 << 20, 64 << 20
 MIN_SLICES, MIN_BUCKETS = 256, 1024
 #: Rounds in which the n-grams are sent, a share of the zones in each, so that they are never all on disk.
 ROUNDS = 2
@@ -344,8 +344,11 @@ def _gather_zone(parts: DataFrame, layout: Layout) -> Zone | None:
     return Zone(first, starts, sizes, *map(np.concatenate, (bits, words, counts)))
 
 
-def _answers(asked: DataFrame, zone: Zone, layout: Layout) -> DataFrame:
-    """Levels of all n-grams that the slices ask of a zone, and the exact counts of the words among them."""
+def _answers(asked: DataFrame, zone: Zone, layout: Layout, work: Workspace) -> DataFrame:
+    """Levels of all n-grams that the slices ask of a zone, and the exact counts of the words among them.
+
+    They are written, and the zone is taken back from driver and workers.
+    """
     shared = asked.sparkSession.sparkContext.broadcast(zone)
 
     def run(batches):
@@ -361,7 +364,9 @@ def _answers(asked: DataFrame, zone: Zone, layout: Layout) -> DataFrame:
                  _binary(held.levels(words, word_at), n_words), _binary(held.counts(words).astype("<i8"), 8 * n_words)],
                 names=["slice", "bucket", "pairs", "words", "word_counts"])
 
-    return asked.select("slice", "bucket", "pairs", "words").mapInArrow(run, ANSWERED)
+    answers = work.table(asked.select("slice", "bucket", "pairs", "words").mapInArrow(run, ANSWERED))
+    shared.destroy()
+    return answers
 
 
 def _score(layout: Layout, id_col: str, total: int):
@@ -421,7 +426,7 @@ def score_documents(docs: DataFrame, trained: Column, id_col: str = "doc_id", te
             own = kept.where(F.col("zone") == number)
             zone = _gather_zone(own.where("slice < 0"), layout)
             if zone:
-                answers.append(work.table(_answers(own.where("slice >= 0"), zone, layout)))
+                answers.append(_answers(own.where("slice >= 0"), zone, layout, work))
         work.drop(kept)
     answers = reduce(DataFrame.unionByName, answers) if answers else spark.createDataFrame([], ANSWERED)
     kind = picked.schema["id"].dataType.simpleString()
