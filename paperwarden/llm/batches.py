@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -32,6 +33,14 @@ def map_rows(df: DataFrame, schema: str | T.StructType, each: Callable[[], Calla
     return df.mapInArrow(run, wanted)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: worker processes live on, and hold it, after their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def to_batch(rows: Iterable[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [()] * len(schema)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)

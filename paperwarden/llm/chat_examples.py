@@ -10,7 +10,8 @@ The conversation is the unit: its turns are gathered in one row, and by the meth
 square of its turns.
 
 Defined cases: a null text or role counts as empty; turns are ordered by turn, nulls first, ties by role, then text;
-repeated rows are repeated turns; the null conversation id is one conversation; an empty table gives no examples.
+repeated rows are repeated turns; the null conversation id is one conversation; texts are kept whole,
+whatever their length; an empty table gives no examples.
 Columns beyond the four named ones are ignored.
 """
 

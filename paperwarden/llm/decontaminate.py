@@ -12,7 +12,8 @@ documents in the same scan, so there is no shuffle of texts. Every document is s
 
 Defined cases: null and empty texts are clean; null and empty items match nothing; items of fewer than q characters
 or too short for the lemma count only as whole words found exactly; repeated items are separate items; without items
-all documents are clean; an empty table gives an empty result. Columns beyond the named ones are ignored by
+all documents are clean; texts are searched whole, whatever their
+length; an empty table gives an empty result. Columns beyond the named ones are ignored by
 ``find_contamination`` and returned untouched by ``drop_contaminated``.
 """
 
@@ -26,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from paperwarden.llm.batches import SLICE
+from paperwarden.llm.batches import SLICE, release_memory
 
 Q = 10
 EDIT_SHARE = 0.07
@@ -267,6 +268,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                     part = batch.slice(start, SLICE)
                     clean = [not index.find(text) for text in part.column(place).to_pylist()]
                     yield part.filter(pa.array(clean, pa.bool_()))
+            release_memory()
 
         kept = kept.mapInArrow(run, docs.schema)
     return kept

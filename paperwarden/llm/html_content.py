@@ -10,8 +10,9 @@ one half are the main text.
 A batch of pages is one forest of arrays, so messages of all pages pass together. Every page is handled whole.
 
 Defined cases: null and empty pages, and pages without main text, give an empty text; broken and cut-off markup is
-mended; repeated rows and null ids are rows like others; an empty table gives an empty result. Columns beyond the
-named ones are ignored.
+mended; repeated rows and null ids are rows like others; a node
+whose two marginals are equal is no content; an empty table gives an empty result. Columns beyond the named ones are
+ignored.
 """
 
 from __future__ import annotations

@@ -3,27 +3,29 @@
 A document's set holds the hashes of its distinct runs of ``SHINGLE`` words. Two documents are linked if
 100 * intersection >= ``PERCENT`` * union; the join gives every document the smallest id reachable by links.
 
-1. Documents with equal sets are one class; only the first stands for it from here on.
-2. Similar documents are put into groups of at most ``GROUP``: documents sharing a minimum hash stand together in a
+1. Documents with equal sets are one class; one of them stands for it from here on, under a number of its own.
+2. Of every set the first tokens in order of their hashes are its *pool*: the ``m + 1`` of the prefix filter, m being
+   how many tokens of it a linked set may lack, and ``k`` more. A linked pair shares at least k + 1 tokens of the pool
+   that ends first, and these lie in the other pool as well. So a set that has fewer pool tokens in common with others
+   than any partner would need is linked with nothing. Most sets leave here; the others' whole sets are read once.
+3. Similar documents are put into groups of at most ``GROUP``: documents sharing a minimum hash stand together in a
    range-partitioned order and are cut into blocks, in ``ORDERS`` different orders. All pairs inside a block are
    verified at once, and linked documents of a block of the first order are a group. This joins nearly all that
    belongs together, at a cost linear in the size of any crowd of copies.
-3. The token-group matrix holds, for each group, the union of its members' tokens, reduced to what a bound needs: by
-   the prefix bound, sets of similarity t share a token among the first n - ceil(t * n) + 1 of either in any common
-   order. Tokens of a single document or component are left out, since they can link nothing that isn't linked.
-4. Tokens found in more than ``HOT_CLASSES`` components (passages that many documents share) come last in the
-   order. Small documents are kept with all their tokens, others with some more than their prefix; those that have
-   too few other tokens nevertheless are read again with all their tokens.
-5. For each query group and each group of another component that shares prefix tokens the overlap is bounded by the
-   tokens shared and the most that can follow. Only groups that can reach the threshold are opened: their texts
-   are read and each query document is checked against the union of the group, then against its members.
-
-Steps 3 to 5 miss nothing, whatever step 2 left unlinked. No step lists the pairs of a component.
+4. The token-group matrix holds, for each group, the union of its members' pool tokens that stand in several
+   components. A document with c such tokens asks by its c - k rarest ones only, as one of them must be shared. The
+   groups it meets are held to the bound of step 2 with all of their union, and to the sizes of their members.
+5. Groups that pass are opened: the document is checked against the union of their whole sets, then against each
+   member. Every group opens the most promising ones first, in rounds of 1, 2, 4, ...; what a round connects is one
+   component in the next, whose inner pairs need no opening. So a crowd of many groups is never opened pair by pair.
+
+Steps 4 and 5 miss nothing, whatever step 3 left unlinked. No step lists the pairs of a component.
 
 Defined cases: null, empty and word-less texts have empty sets and are linked with nothing; texts of fewer words than
-a shingle are one shingle of all their words; rows without an id are known by a hash of their text behind all other
-ids, and have a null class if no row with an id is in it; repeated rows are members of the same class; an empty table
-gives an empty result. Columns beyond the id and the text are ignored.
+a shingle are one shingle of all their words; texts are read whole, whatever their length; rows without an id are known
+by a hash of their text behind all other ids, and have a null class if no row with an id is in it; repeated rows are
+members of the same class, and unlike texts under one id are documents of their own; an empty table gives an empty
+result. Columns beyond the id and the text are ignored.
 """
 
 from __future__ import annotations
@@ -32,18 +34,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow.compute as pc
+import xxhash
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paperwarden.llm.batches import SLICE, WordHashes
 from paperwarden.llm.components import components
-from paperwarden.operators.scale import Workspace
+from paperwarden.operators.scale import Workspace, broadcast_if_small, workspace
 
 SHINGLE = 5
 PERCENT = 80
 GROUP = 32
 ORDERS = 3
+#: While tokens stand in more components than this, documents that have too few shared tokens are dropped again.
 HOT_CLASSES = 24
+#: Sets of so many tokens have all of them in their pool.
 KEPT_WHOLE = 192
+#: Documents that ask a group at a time.
+ASKING = 128
 #: Ids from here on stand for rows without one.
 NO_ID = 1 << 62
 
@@ -70,13 +78,6 @@ def shingles(text: str | None, hashes: WordHashes) -> np.ndarray:
     return np.unique(_mixed(rolling).view(np.int64))
 
 
-def _signature(tokens: np.ndarray) -> tuple[int, int]:
-    """128 bits that stand for a set."""
-    values = tokens.view(np.uint64)
-    return (int(_mixed(values * _STEP).sum(dtype=np.uint64).astype(np.int64)),
-            int(np.bitwise_xor.reduce(_mixed(values + _STEP)).astype(np.int64)))
-
-
 def _least_shared(n):
     """What a set of n must share with any set it is linked to."""
     return (PERCENT * n + 99) // 100
@@ -86,69 +87,109 @@ def _prefix(n):
     return n - _least_shared(n) + 1
 
 
-def _prefix_length(n: Column) -> Column:
-    return n - F.call_function("div", n * PERCENT + 99, F.lit(100)) + 1
-
-
 def _kept(n: int) -> int:
-    """Tokens kept of a set: its prefix and some to stand in for hot ones; all of a small set."""
+    """Tokens in the pool of a set: its prefix and some more; all of a small set."""
     return min(n, max(KEPT_WHOLE, _prefix(n) + n // 10))
 
 
+def _need(n):
+    """Pool tokens that a set of n shares with any set it is linked to whose pool ends no sooner."""
+    kept = np.minimum(n, np.maximum(KEPT_WHOLE, _prefix(n) + n // 10))
+    return kept - _prefix(n) + 1
+
+
+def _least_need(n: int) -> int:
+    """Pool tokens that a set of n shares with any set it is linked to: the least that a partner of any size needs."""
+    return int(_need(np.arange(_least_shared(n), 100 * n // PERCENT + 1)).min())
+
+
+def token_sets(texts: pa.Array) -> list[np.ndarray]:
+    """``shingles`` of all texts of a column."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat, starts = split.values, split.offsets.to_numpy()
+    real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+    starts = np.concatenate([[0], np.cumsum(real)])[starts]
+    coded = flat.filter(pa.array(real)).dictionary_encode()
+    named = coded.dictionary.to_numpy(zero_copy_only=False)
+    word = np.fromiter(map(xxhash.xxh3_64_intdigest, named), np.uint64, len(named))[coded.indices.to_numpy()]
+
+    def rolled(words: np.ndarray, length: int) -> np.ndarray:
+        rolling = np.full(max(0, len(words) - length + 1), length, np.uint64)
+        for i in range(length):
+            rolling = rolling * _STEP + words[i:i + len(rolling)]
+        return _mixed(rolling).view(np.int64)
+
+    whole = rolled(word, SHINGLE)
+    return [np.unique(whole[a:b - SHINGLE + 1] if b - a >= SHINGLE else rolled(word[a:b], b - a)) if b > a
+            else np.empty(0, np.int64) for a, b in zip(starts[:-1], starts[1:])]
+
+
+def _to_lists(sets: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int64), *sets])))
+
+
+def _signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """128 bits that stand for each set, and the smallest of its hashes in ``ORDERS`` orders, as columns."""
+    made = np.zeros((2 + ORDERS, len(sets)), np.int64)
+    some = np.array([k for k, s in enumerate(sets) if len(s)], np.int64)
+    if len(some):
+        values = np.concatenate([sets[k] for k in some]).view(np.uint64)
+        first = np.concatenate([[0], np.cumsum([len(sets[k]) for k in some])[:-1]])
+        made[0, some] = np.add.reduceat(_mixed(values * _STEP), first).view(np.int64)
+        made[1, some] = np.bitwise_xor.reduceat(_mixed(values + _STEP), first).view(np.int64)
+        for r, seed in enumerate(_SEEDS[:ORDERS]):
+            made[2 + r, some] = np.minimum.reduceat(_mixed(values ^ seed), first).view(np.int64)
+    return made
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    least_needs = {0: 0}
     for batch in batches:
         for start in range(0, batch.num_rows, SLICE):
             part = batch.slice(start, SLICE)
-            rows, kept = [], []
-            for text in part.column(1).to_pylist():
-                tokens = shingles(text, hashes)
-                n = len(tokens)
-                least = [int(_mixed(tokens.view(np.uint64) ^ s).min().astype(np.int64)) for s in _SEEDS] if n else [0] * ORDERS
-                rows.append((n, *_signature(tokens), *least))
-                kept.append(tokens[:_kept(n)] if n else tokens)
-            offsets = np.cumsum([0, *map(len, kept)]).astype(np.int32)
-            pool = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(kept)))
-            columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
-            yield pa.RecordBatch.from_arrays([part.column(0), *columns, pool], names=[
-                "id", "n", "sig_a", "sig_b", *(f"least_{r}" for r in range(ORDERS)), "pool"])
+            sets = token_sets(part.column(1))
+            sizes = np.array([len(s) for s in sets], np.int64)
+            least_needs.update((n, _least_need(n)) for n in {*sizes.tolist()} - least_needs.keys())
+            needs = [least_needs[n] for n in sizes.tolist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(sizes), pa.array(_need(sizes)), pa.array(needs, pa.int64()),
+                 *map(pa.array, _signatures(sets)), _to_lists([s[:_kept(len(s))] for s in sets])],
+                names=["row", "n", "need", "least_need", "sig_a", "sig_b", *(f"least_{r}" for r in range(ORDERS)), "pool"])
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Cut rows in order into blocks of equal minimum hash and compatible size; blocks of one are left out."""
-    made: list[tuple[int, int, int, int]] = []
-    block: list[tuple[int, int]] = []
+    made: list[tuple[int, int, int]] = []
+    block: list[int] = []
     key, least = None, 0
 
     def close():
         if len(block) > 1:
-            made.extend((key[0], block[0][0], i, sig) for i, sig in block)
+            made.extend((key[0], block[0], i) for i in block)
         block.clear()
 
     def batch_of():
-        columns = list(zip(*made)) or [()] * 4
+        columns = list(zip(*made)) or [()] * 3
         made.clear()
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["r", "block", "id", "sig_a"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["r", "block", "id"])
 
     for batch in batches:
-        for r, hashed, n, i, sig in zip(*(c.to_pylist() for c in batch.columns)):
+        for r, hashed, n, i in zip(*(c.to_pylist() for c in batch.columns)):
             if key != (r, hashed) or len(block) == GROUP or 100 * least < PERCENT * n:
                 close()
                 key, least = (r, hashed), n
-            block.append((i, sig))
+            block.append(i)
         yield batch_of()
     close()
     yield batch_of()
 
 
-def _sets(table: pa.Table, hashes: WordHashes) -> dict[int, np.ndarray]:
-    """The sets of the documents in a table (id, sig_a, text) that are the expected ones."""
-    found = {}
-    for i, sig, text in zip(*(table.column(c).to_pylist() for c in ("id", "sig_a", "text"))):
-        if i not in found:
-            tokens = shingles(text, hashes)
-            if _signature(tokens)[0] == sig:
-                found[i] = tokens
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    found = []
+    for chunk in column.chunks:
+        flat, offsets = chunk.values.to_numpy(), chunk.offsets.to_numpy()
+        found += [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
     return found
 
 
@@ -168,9 +209,9 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return np.rint(held @ held.T).astype(np.int64)
 
 
-def _link_block(table: pa.Table, hashes: WordHashes) -> pa.Table:
+def _link_block(table: pa.Table) -> pa.Table:
     """Verify all pairs of a block; every linked document points to the first of its part."""
-    sets = _sets(table, hashes)
+    sets = dict(zip(table.column("id").to_pylist(), _lists(table.column("tokens"))))
     names = sorted(sets)
     leader = {i: i for i in names}
     if len(names) > 1:
@@ -191,63 +232,47 @@ def _link_block(table: pa.Table, hashes: WordHashes) -> pa.Table:
     return pa.table([pa.array(c, pa.int64()) for c in columns], names=["r", "id", "leader"])
 
 
-def _open_pair(table: pa.Table, hashes: WordHashes) -> pa.Table:
-    """One link if any document of one group is linked to one of the other; else nothing."""
-    a, b = table.column("unit_a")[0].as_py(), table.column("unit_b")[0].as_py()
-    sets = _sets(table, hashes)
-    side = dict(zip(table.column("id").to_pylist(), table.column("unit").to_pylist()))
-    queries = [s for i, s in sets.items() if side[i] == a]
-    others = [s for i, s in sets.items() if side[i] == b]
-    found = False
-    if queries and others:
-        union = np.unique(np.concatenate(others))
-        for query in queries:
-            if len(np.intersect1d(query, union, assume_unique=True)) < _least_shared(len(query)):
+def _open_group(table: pa.Table) -> pa.Table:
+    """(a, b): classes of asking documents that are linked to a member of a group, and the group's class."""
+    asking = np.array(table.column("asking").to_pylist(), bool)
+    sets, classes = _lists(table.column("tokens")), table.column("class_id").to_pylist()
+    members = [sets[k] for k in np.flatnonzero(~asking)]
+    group = {classes[k] for k in np.flatnonzero(~asking)}
+    union = np.unique(np.concatenate([np.empty(0, np.int64), *members]))
+    found = set()
+    for k in np.flatnonzero(asking):
+        query = sets[k]
+        if classes[k] in found or not len(union):
+            continue
+        places = np.minimum(np.searchsorted(union, query), len(union) - 1)
+        if (union[places] == query).sum() < _least_shared(len(query)):
+            continue
+        for other in members:
+            if 100 * min(len(query), len(other)) < PERCENT * max(len(query), len(other)):
                 continue
-            for other in others:
-                shared = len(np.intersect1d(query, other, assume_unique=True))
-                if 100 * shared >= PERCENT * (len(query) + len(other) - shared):
-                    found = True
-                    break
-            if found:
+            shared = len(np.intersect1d(query, other, assume_unique=True))
+            if 100 * shared >= PERCENT * (len(query) + len(other) - shared):
+                found.add(classes[k])
                 break
-    return pa.table({"a": pa.array([a] * found, pa.int64()), "b": pa.array([b] * found, pa.int64())})
+    return pa.table({"a": pa.array(sorted(found), pa.int64()), "b": pa.array([*group] * len(found), pa.int64())})
 
 
-def _with_hashes(each):
-    """A function of one group whose word hashes last from group to group of a task."""
-    hashes = WordHashes()
-    return lambda table: each(table, hashes)
-
-
-def _all_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All tokens of documents (id, sig_a, text) whose set is the expected one."""
-    hashes = WordHashes()
-    for batch in batches:
-        for start in range(0, batch.num_rows, SLICE):
-            sets = _sets(pa.Table.from_batches([batch.slice(start, SLICE)]), hashes)
-            offsets = np.cumsum([0, *map(len, sets.values())]).astype(np.int32)
-            values = np.concatenate([np.empty(0, np.int64), *sets.values()])
-            yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), pa.ListArray.from_arrays(
-                pa.array(offsets), pa.array(values))], names=["id", "pool"])
-
-
-def _groups(reps: DataFrame, texts: DataFrame, work: Workspace) -> DataFrame:
+def _groups(reps: DataFrame, sets: DataFrame, work: Workspace) -> DataFrame:
     """Links (r, id, leader) found inside blocks of similar documents."""
     orders = F.explode(F.array(*[F.struct(F.lit(r).cast("long").alias("r"), F.col(f"least_{r}").alias("hashed"))
                                  for r in range(ORDERS)]))
     by = ["r", "hashed", "n", "id"]
-    rows = reps.select(orders.alias("o"), "n", "id", "sig_a").select("o.r", "o.hashed", "n", "id", "sig_a")
+    rows = reps.select(orders.alias("o"), "n", "id").select("o.r", "o.hashed", "n", "id")
     members = work.table(rows.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(
-        _blocks, "r bigint, block bigint, id bigint, sig_a bigint"))
-    read = texts.join(members, "id").select("r", "block", "id", "sig_a", "text")
-    links = work.table(read.groupBy("r", "block").applyInArrow(_with_hashes(_link_block), "r bigint, id bigint, leader bigint"))
+        _blocks, "r bigint, block bigint, id bigint"))
+    read = sets.join(members, "id").select("r", "block", "id", "tokens")
+    links = work.table(read.groupBy("r", "block").applyInArrow(_link_block, "r bigint, id bigint, leader bigint"))
     work.drop(members)
     return links
 
 
 def _shared(rows: DataFrame, work: Workspace) -> DataFrame:
-    """The rows (token, id, place) whose token two or more documents have."""
+    """The rows (id, token) whose token two or more documents have."""
     often = work.table(rows.groupBy("token").agg(F.min("id").alias("low"), F.max("id").alias("high")).where(
         "low < high").select("token"))
     found = work.table(rows.join(often, "token"))
@@ -255,145 +280,166 @@ def _shared(rows: DataFrame, work: Workspace) -> DataFrame:
     return found
 
 
-def _crossing(matrix: DataFrame, info: DataFrame, work: Workspace) -> DataFrame:
-    """The token-group matrix over tokens of two or more components: with the group and component of each row, and
-    the number of components and the largest component of each token."""
-    named = work.table(matrix.join(info.select("id", "unit", "class_id", "class_size"), "id"))
-    held = named.select("token", "class_id", "class_size").distinct()
-    tokens = work.table(held.groupBy("token").agg(
-        F.count(F.lit(1)).alias("classes"), F.max(F.struct("class_size", "class_id"))["class_id"].alias("main")).where(
-        "classes > 1"))
-    crossing = work.table(named.join(tokens, "token"))
-    work.drop(named, tokens)
-    return crossing
+def _with_enough(rows: DataFrame, info: DataFrame, work: Workspace) -> DataFrame:
+    """(id, c): documents with as many rows in ``rows`` as any link needs, and how many they have."""
+    counts = rows.groupBy("id").agg(F.count(F.lit(1)).alias("c"))
+    return work.table(counts.join(info.select("id", "least_need"), "id").where("c >= least_need").select("id", "c"))
 
 
-def _prefix_ends(reps: DataFrame, info: DataFrame, hot: DataFrame, work: Workspace) -> DataFrame:
-    """(id, hot, end): the last token of the prefix of documents with hot tokens, if all of the prefix is cool."""
-    asked = hot.join(info.select("id", "prefix"), "id")
-    cool = F.array_except("pool", F.transform("hot", lambda h: h["token"]))
-    return work.table(reps.select("id", "pool").join(work.table(asked), "id").select(
-        "id", "hot", F.when(F.size(cool) >= F.col("prefix"), F.element_at(cool, F.col("prefix").cast("int"))).alias("cool_end")))
+def _active(matrix: DataFrame, info: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """The rows of documents that have enough tokens in common with others, and these documents (id, c)."""
+    for again in (True, False):
+        enough = _with_enough(matrix, info, work)
+        rows = matrix.join(broadcast_if_small(enough.select("id")), "id", "left_semi")
+        before, matrix = matrix, _shared(rows, work) if again else work.table(rows)
+        work.drop(before)
+    return matrix, enough
 
 
-def _candidates(info: DataFrame, crossing: DataFrame, hot: DataFrame, work: Workspace) -> DataFrame:
-    """(id, unit_a, unit_b): documents and the groups of other components that their bound lets through.
+def _crossing(matrix: DataFrame, info: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """The rows (id, token, class_id, classes) whose token stands in several components, of documents that have enough
+    of them, and these documents (id, c).
 
-    ``hot`` is the table of ``_prefix_ends``. Up to the end of its prefix a document's tokens are known to be in the
-    union of a group whose members' prefixes reach as far, or in none of its members. The bound needs all tokens that
-    a document and a group share, so of two components the smaller one (by size, then id) asks for every token.
+    Documents that leave make other tokens rarer, so they are counted again while many leave and frequent tokens stay.
     """
-    known = work.table(info.select("id", "n", "size", "prefix", "end").join(hot, "id", "left").withColumn(
-        "end", F.when(F.col("hot").isNull(), F.col("end")).otherwise(F.col("cool_end"))).drop("cool_end"))
-    rows = crossing.join(known, "id")
-    hot_before = F.when(F.col("hot").isNull(), 0).otherwise(F.size(F.filter("hot", lambda h: h["place"] < F.col("place"))))
-    among_hot = F.size(F.filter("hot", lambda h: F.struct(h["classes"], h["token"]) < F.struct("classes", "token")))
-    rank = F.when(F.col("classes") > HOT_CLASSES, F.col("n") - F.size("hot") + among_hot).otherwise(
-        F.col("place") - hot_before)
-    rows = work.table(rows.withColumn("rank", rank).where(F.col("rank") < F.col("prefix")).drop("hot", "classes", "place"))
-    groups = work.table(rows.groupBy("token", "unit", "class_id", "class_size").agg(
-        F.max("size").alias("members"), F.min("n").alias("least_n"), F.max("n").alias("most_n"),
-        F.when(F.count("end") == F.count(F.lit(1)), F.min("end")).alias("end")))
-    work.drop(known)
-    a = rows.where("class_id <> main").select("token", "id", F.col("unit").alias("unit_a"), F.col("class_id").alias(
-        "class_a"), F.col("class_size").alias("size_a"), "rank", "n", "prefix", F.col("end").alias("end_a"))
-    b = groups.select("token", F.col("unit").alias("unit_b"), F.col("class_id").alias("class_b"),
-                      F.col("class_size").alias("size_b"), "members", "least_n", "most_n", F.col("end").alias("end_b"))
-    met = a.join(b, "token").where("size_a < size_b OR (size_a = size_b AND class_a < class_b)")
-    pairs = met.groupBy("id", "unit_a", "unit_b").agg(
-        F.count(F.lit(1)).alias("shared"), F.min("rank").alias("low_rank"), F.max("rank").alias("rank"),
-        F.max("members").alias("members"), F.first("n").alias("n"),
-        F.first("prefix").alias("prefix"), F.first("end_a").alias("end_a"), F.min("least_n").alias("least_n"),
-        F.max("most_n").alias("most_n"), F.when(F.count("end_b") == F.count(F.lit(1)), F.min("end_b")).alias("end_b"))
-    # What may follow the shared tokens: the rest behind the prefix, or else behind the last token shared with the
-    # only member; with several members the last one shared with any of them is only known to be some shared token.
-    most = F.col("shared") + F.expr("if(end_a <= end_b, n - prefix, n - 1 - if(members = 1, rank, low_rank))")
-    other = F.greatest(100 * F.col("least_n"), PERCENT * F.col("n"))
-    fit = 100 * F.col("most_n") >= PERCENT * F.col("n")
-    reach = (100 + PERCENT) * 100 * most >= PERCENT * (100 * F.col("n") + other)
-    found = work.table(pairs.where(fit & reach & (PERCENT * F.col("least_n") <= 100 * F.col("n"))).select(
-        "id", "unit_a", "unit_b"))
-    work.drop(rows, groups)
+    named = work.table(matrix.join(info.select("id", "class_id"), "id"))
+    while True:
+        tokens = work.table(named.select("token", "class_id").distinct().groupBy("token").agg(
+            F.count(F.lit(1)).alias("classes")).where("classes > 1"))
+        crossing = work.table(named.join(tokens, "token"))
+        enough = _with_enough(crossing, info, work)
+        kept = work.table(crossing.join(broadcast_if_small(enough.select("id")), "id", "left_semi"))
+        most = tokens.agg(F.max("classes")).first()[0] or 0
+        stay, were = enough.count(), crossing.select("id").distinct().count()
+        work.drop(named, crossing, tokens)
+        if most <= HOT_CLASSES or 10 * stay >= 9 * were:
+            return kept, enough
+        named = kept.drop("classes")
+        named.written_to = kept.written_to
+
+
+def _candidates(info: DataFrame, crossing: DataFrame, enough: DataFrame, work: Workspace) -> DataFrame:
+    """(id, unit_a, class_a, unit_b, class_b, place): documents and the groups of other components that their bound
+    lets through, numbered from 1 for each asking group, the most promising first."""
+    known = info.select("id", "unit", "n", "need", "end").join(enough, "id")
+    rows = work.table(crossing.join(known, "id"))
+    by_rarity = Window.partitionBy("id").orderBy("classes", "token")  # no more rows than a pool has tokens
+    asked = rows.withColumn("rarity", F.row_number().over(by_rarity)).where(F.col("rarity") <= F.col("c") - F.col("need") + 1)
+    groups = work.table(rows.groupBy("token", "unit", "class_id").agg(
+        F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.max("end").alias("last_end")))
+    a = asked.select("token", "id", F.col("unit").alias("unit_a"), F.col("class_id").alias("class_a"), "n", "need", "end")
+    b = groups.select("token", F.col("unit").alias("unit_b"), F.col("class_id").alias("class_b"), "least_n", "most_n", "last_end")
+    fit = (100 * F.col("most_n") >= PERCENT * F.col("n")) & (PERCENT * F.col("least_n") <= 100 * F.col("n"))
+    met = work.table(a.join(b, "token").where((F.col("class_a") != F.col("class_b")) & (F.col("end") <= F.col("last_end")) & fit)
+                     .select("id", "unit_a", "class_a", "unit_b", "class_b", "need").distinct())
+    own = rows.groupBy("id").agg(F.collect_list("token").alias("own"))
+    unions = groups.groupBy(F.col("unit").alias("unit_b")).agg(F.collect_set("token").alias("held"))
+    bounded = met.join(own, "id").join(unions, "unit_b").withColumn("shared", F.size(F.array_intersect("own", "held")))
+    best = Window.partitionBy("unit_a").orderBy(F.desc("shared"), "unit_b", "id")
+    found = work.table(bounded.where("shared >= need").withColumn("place", F.row_number().over(best)).select(
+        "id", "unit_a", "class_a", "unit_b", "class_b", "place"))
+    work.drop(rows, groups, met)
     return found
 
 
+def _opened(opened: DataFrame, info: DataFrame, sets: DataFrame, work: Workspace) -> DataFrame:
+    """Links (a, b) between classes from opening groups (unit_b) for documents (id) of other classes."""
+    parts = opened.groupBy("unit_b").agg(F.expr(f"(count(*) + {ASKING - 1}) div {ASKING}").alias("parts"))
+    parts = work.table(parts)
+    queries = opened.join(parts, "unit_b").select("unit_b", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"), "id",
+                                                  F.col("class_a").alias("class_id"), F.lit(True).alias("asking"))
+    members = parts.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).join(
+        info.select(F.col("unit").alias("unit_b"), "id", "class_id"), "unit_b").select(
+        "unit_b", "part", "id", "class_id", F.lit(False).alias("asking"))
+    asked = work.table(queries.unionByName(members))
+    read = sets.join(asked, "id").select("unit_b", "part", "class_id", "asking", "tokens")
+    links = work.table(read.groupBy("unit_b", "part").applyInArrow(_open_group, "a bigint, b bigint"))
+    work.drop(parts, asked)
+    return links
+
+
+def _links_across(candidates: DataFrame, info: DataFrame, sets: DataFrame, work: Workspace) -> DataFrame | None:
+    """(id, class_id): classes of ``info`` (id) that belong to one component with others, and that component."""
+    last = candidates.agg(F.max("place")).first()[0] or 0
+    links, merged, start = None, None, 1
+    while start <= last:
+        turn = candidates.where(F.col("place").between(start, 2 * start - 1))
+        if merged is not None:
+            for side in "ab":
+                label = merged.select(F.col("id").alias(f"class_{side}"), F.col("class_id").alias(f"now_{side}"))
+                turn = turn.join(label, f"class_{side}", "left").withColumn(
+                    f"now_{side}", F.coalesce(f"now_{side}", f"class_{side}"))
+            turn = turn.where("now_a <> now_b")
+        turn = work.table(turn.select("id", "class_a", "unit_b"))
+        found = _opened(turn, info, sets, work)
+        work.drop(turn)
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            merged = components(links, work)
+        start *= 2
+    return merged
+
+
 def _row_classes(docs: DataFrame, id_col: str, text_col: str, work: Workspace) -> DataFrame:
     """Row id (see ``row_id``), n and class_id of every row of ``docs``."""
-    texts = docs.select(row_id(docs, id_col, text_col).alias("id"), docs[text_col].alias("text"))
-    sketch = work.table(texts.mapInArrow(_sketch, "id bigint, n bigint, sig_a bigint, sig_b bigint, "
-                                         + "".join(f"least_{r} bigint, " for r in range(ORDERS)) + "pool array<bigint>"))
-    rows = work.table(sketch.select("id", "n", "sig_a", "sig_b"))
-    firsts = work.table(rows.where("n > 0").groupBy("sig_a", "sig_b").agg(F.min("id").alias("first")))
-    reps = work.table(sketch.join(firsts.withColumnRenamed("first", "id"), ["sig_a", "sig_b", "id"], "left_semi")
-                      .dropDuplicates(["sig_a", "sig_b", "id"]))
+    texts = docs.select(row_id(docs, id_col, text_col).alias("row"), docs[text_col].alias("text"))
+    least = [f"least_{r}" for r in range(ORDERS)]
+    sketch = work.table(texts.mapInArrow(_sketch, "row bigint, n bigint, need bigint, least_need bigint, sig_a bigint, "
+                                         "sig_b bigint, " + "".join(f"{c} bigint, " for c in least) + "pool array<bigint>")
+                        .withColumn("id", F.monotonically_increasing_id()))
+    rows = work.table(sketch.select("row", "n", "sig_a", "sig_b", "id"))
+    # Unlike texts may share an id, so a set is known by the number of its first row.
+    firsts = work.table(rows.where("n > 0").groupBy("sig_a", "sig_b").agg(F.min(F.struct("row", "id")).alias("f")).select(
+        "sig_a", "sig_b", F.col("f.id").alias("id")))
+    reps = work.table(sketch.join(broadcast_if_small(firsts.select("id")), "id", "left_semi"))
     work.drop(sketch)
-    prefix = _prefix_length(F.col("n"))
-    narrow = work.table(reps.select("id", "sig_a", "n", *[f"least_{r}" for r in range(ORDERS)],
-                                    F.size("pool").cast("long").alias("kept"), prefix.alias("prefix"),
-                                    F.element_at("pool", prefix.cast("int")).alias("end")))
-    kept = reps.select("id", F.posexplode("pool").alias("place", "token"))
-    matrix = _shared(kept, work)
-
-    active = matrix.select("id").distinct()
-    inside = _groups(narrow.join(active, "id", "left_semi"), texts, work)
+    narrow = work.table(reps.select("id", "row", "sig_a", "sig_b", "n", "need", "least_need", *least,
+                                    F.element_at("pool", -1).alias("end")))
+    matrix, enough = _active(_shared(reps.select("id", F.explode("pool").alias("token")), work), narrow, work)
+    work.drop(reps)
+    active = work.table(narrow.join(enough.select("id"), "id"))
+    wanted = broadcast_if_small(active.select("id", "row", "sig_a", "sig_b"))
+    sets = work.table(texts.join(wanted, "row").select("id", "sig_a", "sig_b", "text").mapInArrow(
+        _whole_sets, "id bigint, tokens array<bigint>").dropDuplicates(["id"]))
+
+    inside = _groups(active, sets, work)
     links = inside.select(F.col("id").alias("a"), F.col("leader").alias("b"))
     classes = components(links, work)
-    class_sizes = classes.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
     leaders = inside.where("r = 0").select("id", F.col("leader").alias("unit"))
-    members = work.table(leaders.unionByName(leaders.select(F.col("unit").alias("id"), "unit").distinct()))
-    units = members.join(members.groupBy("unit").agg(F.count(F.lit(1)).alias("size")), "unit")
-    sized = classes.join(work.table(class_sizes), "class_id")
-    info = work.table(narrow.join(sized, "id", "left").join(units, "id", "left").select(
-        "id", "sig_a", "n", "kept", "prefix", "end", F.coalesce("class_id", "id").alias("class_id"),
-        F.coalesce("class_size", F.lit(1)).alias("class_size"),
-        F.coalesce("unit", "id").alias("unit"), F.coalesce("size", F.lit(1)).alias("size")))
-    work.drop(narrow, members)
-
-    while True:
-        crossing = _crossing(matrix, info, work)
-        hot = work.table(crossing.where(F.col("classes") > HOT_CLASSES).groupBy("id").agg(F.sort_array(
-            F.collect_list(F.struct("classes", "token", "place"))).alias("hot")))
-        short = work.table(info.where("kept < n").join(hot, "id").where(
-            F.col("kept") - F.size("hot") < F.col("prefix")).select("id", "sig_a", "kept"))
-        if short.isEmpty():
-            break
-        whole = texts.join(short.select("id", "sig_a"), "id").select("id", "sig_a", "text").mapInArrow(
-            _all_tokens, "id bigint, pool array<bigint>").dropDuplicates(["id"])
-        more = whole.join(short.select("id", "kept"), "id").select(
-            "id", "kept", F.posexplode("pool").alias("place", "token")).where("place >= kept").drop("kept")
-        more = work.table(more)
-        met = kept.join(work.table(more.select("token").distinct()), "token", "left_semi")
-        longer = _shared(work.table(met.unionByName(more)), work)
-        kept = kept.unionByName(more)
-        before, matrix = matrix, work.table(matrix.unionByName(longer.select(*matrix.columns)).distinct())
-        grown = info.join(short.select("id", F.lit(True).alias("grown")), "id", "left").withColumn(
-            "kept", F.when(F.col("grown"), F.col("n")).otherwise(F.col("kept"))).drop("grown")
-        old, info = info, work.table(grown)
-        work.drop(before, longer, short, hot, crossing, old)
-
-    ends = _prefix_ends(reps, info, hot, work)
-    work.drop(matrix, reps)
-    opened = _candidates(info, crossing, ends, work)
-    work.drop(crossing, hot, ends)
-    queries = opened.select("unit_a", "unit_b", F.col("unit_a").alias("unit"), "id")
-    others = opened.select("unit_a", "unit_b").distinct().join(
-        info.select(F.col("unit").alias("unit_b"), F.col("id")), "unit_b").select(
-        "unit_a", "unit_b", F.col("unit_b").alias("unit"), "id")
-    asked = work.table(queries.unionByName(others).join(info.select("id", "sig_a"), "id"))
-    read = texts.join(asked, "id").select("unit_a", "unit_b", "unit", "id", "sig_a", "text")
-    across = work.table(read.groupBy("unit_a", "unit_b").applyInArrow(_with_hashes(_open_pair), "a bigint, b bigint"))
-    work.drop(asked)
-    if not across.isEmpty():
-        classes = components(links.unionByName(across), work)
-
-    named = rows.join(firsts, ["sig_a", "sig_b"], "left").join(
-        classes.select(F.col("id").alias("first"), "class_id"), "first", "left")
-    return named.select("id", "n", F.coalesce("class_id", "first", "id").alias("class_id"))
+    units = work.table(leaders.unionByName(leaders.select(F.col("unit").alias("id"), "unit").distinct()))
+    info = work.table(active.join(classes, "id", "left").join(units, "id", "left").select(
+        "id", "n", "need", "least_need", "end", F.coalesce("class_id", "id").alias("class_id"),
+        F.coalesce("unit", "id").alias("unit")))
+    crossing, enough = _crossing(matrix, info, work)
+    work.drop(matrix)
+    candidates = _candidates(info, crossing, enough, work)
+    merged = _links_across(candidates, info, sets, work)
+    work.drop(crossing, sets, candidates)
+
+    found = info.select("id", "class_id")
+    if merged is not None:
+        found = found.join(merged.select(F.col("id").alias("class_id"), F.col("class_id").alias("whole")), "class_id", "left"
+                           ).select("id", F.coalesce("whole", "class_id").alias("class_id"))
+    found = firsts.join(found, "id", "left").select("sig_a", "sig_b", F.coalesce("class_id", "id").alias("part"))
+    named = work.table(rows.drop("id").join(found, ["sig_a", "sig_b"], "left").select("row", "n", "part"))
+    smallest = broadcast_if_small(work.table(named.where("part IS NOT NULL").groupBy("part").agg(F.min("row").alias("class_id"))))
+    return named.join(smallest, "part", "left").select(F.col("row").alias("id"), "n", F.coalesce("class_id", "row").alias("class_id"))
+
+
+def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The whole sets of documents (id, sig_a, sig_b, text) whose text is the expected one."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE):
+            part = batch.slice(start, SLICE)
+            sets = token_sets(part.column(3))
+            right = (_signatures(sets)[:2] == [part.column(1).to_numpy(), part.column(2).to_numpy()]).all(axis=0)
+            yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(right)), _to_lists(
+                [s for s, k in zip(sets, right) if k])], names=["id", "tokens"])
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id, ``n_shingles`` and ``component_id`` of every row of ``docs``."""
-    found = _row_classes(docs, id_col, text_col, Workspace(docs.sparkSession))
+    found = _row_classes(docs, id_col, text_col, workspace(docs.sparkSession))
     return found.select(
         F.when(F.col("id") < NO_ID, F.col("id")).alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("class_id") < NO_ID, F.col("class_id")).alias("component_id"))
@@ -404,12 +450,14 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Rows with equal id and text are one document. Different texts under the id of a class all stay.
     """
-    work = Workspace(docs.sparkSession)
+    work = workspace(docs.sparkSession)
+    key = "_row_id"
+    while key in docs.columns:
+        key += "_"
     first = work.table(_row_classes(docs, id_col, text_col, work).where("id = class_id").select(
-        F.col("id").alias("_first_id")).distinct())
-    keyed = docs.withColumn("_row_id", row_id(docs, id_col, text_col))
-    kept = keyed.join(first, keyed["_row_id"] == first["_first_id"], "left_semi")
-    return kept.dropDuplicates(["_row_id", text_col]).drop("_row_id")
+        F.col("id").alias(key)).distinct())
+    kept = docs.withColumn(key, row_id(docs, id_col, text_col)).join(first, key, "left_semi")
+    return kept.dropDuplicates([key, text_col]).select(*docs.columns)
 
 
 def row_id(docs: DataFrame, id_col: str, text_col: str) -> Column:

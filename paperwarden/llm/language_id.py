@@ -8,8 +8,9 @@ matrix rows of a batch's n-grams and adds them up document by document.
 All rows of the training part are counted. The matrix has a size fixed by the number of languages, which is checked.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; null ids and repeated rows are rows like
-others; rows without a language are not learned from; without training rows everything is ``und`` with score 0; an
-empty table gives an empty result. Columns beyond the named ones are ignored.
+others; rows without a language are not learned from; without training rows everything is ``und`` with score 0; of
+equally likely languages the alphabetically first is named; texts are read whole, whatever their length; an empty table
+gives an empty result. Columns beyond the named ones are ignored.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 def ngram_buckets(text: str | None) -> np.ndarray:
     """Buckets of all character n-grams of the letters of a text; empty if it has none."""
     letters = _NOT_LETTERS.sub(" ", (text or "").lower()).strip()
+    if letters and not letters.replace(" ", "").isalpha():  # signs of number such as fractions count as word characters
+        letters = " ".join("".join(c if c.isalpha() else " " for c in letters).split())
     if not letters:
         return np.empty(0, np.int64)
     codes = np.frombuffer(f" {letters} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)

@@ -10,7 +10,8 @@ One scan of the texts writes word positions; frequencies of at most as many word
 driver. Everything else is a projection of single rows, without a shuffle.
 
 Defined cases: null and empty texts have no words and no labels, score 0; null ids and repeated rows are rows like
-others; without rows the words rank alphabetically. Columns beyond the id and the text are ignored.
+others; words of one frequency rank alphabetically, as all do without rows; texts are read whole, whatever their
+length; an empty table gives an empty result. Columns beyond the id and the text are ignored.
 """
 
 from __future__ import annotations

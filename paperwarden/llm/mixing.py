@@ -11,8 +11,8 @@ Only ids, sources, sizes and a hash leave the scan of the texts. A hot source is
 sources and of shards are bounded by the number of sources times ``MAX_SHARDS``.
 
 Defined cases: null text counts 0 words; the null source is a source of its own, last in order; null ids are rows
-like others; rows with equal id and size are interchangeable, so reruns agree; documents without words take 0; an
-empty table gives an empty result. Columns beyond the three named ones are ignored.
+like others; rows with equal id and size are interchangeable, so reruns agree; documents without words take 0; equal
+quotients go to the first source and block; long texts are counted whole, and may lie in several blocks; an empty table gives an empty result. Columns beyond the three named ones are ignored.
 """
 
 from __future__ import annotations

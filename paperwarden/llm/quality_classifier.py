@@ -12,7 +12,8 @@ all rows.
 
 Defined cases: null and empty texts have zero vectors and get a score like any other; null ids and repeated rows are
 rows like others; rows without a label are not learned from; with no or one kind of label the score is the share of
-label 1, one half without any; an empty table gives an empty result. Columns beyond the named ones are ignored.
+label 1, one half without any; texts are read whole, whatever their length; equal texts get equal scores, and a score of
+just the limit counts as good; an empty table gives an empty result. Columns beyond the named ones are ignored.
 """
 
 from __future__ import annotations

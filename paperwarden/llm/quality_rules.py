@@ -5,7 +5,8 @@ the text; the characters of the words in those windows, over all characters in w
 is measured whole and by itself, so there is no shuffle and no state across rows.
 
 Defined cases: a null text has no words (all measures 0, not kept); an empty text likewise. Null ids, repeated rows
-and an empty table need no special care, since rows are independent. Columns beyond the id and the text are ignored
+and an empty table need no special care, since rows are independent; texts are
+measured whole, whatever their length; a share that is just its limit is kept. Columns beyond the id and the text are ignored
 by ``measure_documents`` and returned untouched by ``keep_good``, whatever their names.
 """
 
@@ -17,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from paperwarden.llm.batches import SLICE, map_rows
+from paperwarden.llm.batches import SLICE, map_rows, release_memory
 
 #: N-gram length and the largest share, in percent, of word characters inside n-grams that repeat. Tighter published
 #: limits (10 to 15 percent) count every text of a hundred words that says one line twice as repetitive.
@@ -122,5 +123,6 @@ def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 part = batch.slice(start, SLICE)
                 kept = [verdict(measure(text))[1] for text in part.column(place).to_pylist()]
                 yield part.filter(pa.array(kept, pa.bool_()))
+        release_memory()
 
     return docs.mapInArrow(run, docs.schema)

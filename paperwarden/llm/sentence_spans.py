@@ -13,7 +13,8 @@ single document.
 
 Defined cases: a null text stays null; a text that is removed whole becomes empty and its row stays; rows without an
 id neither give nor take spans of other rows and lose only repeats within themselves; rows with the same id count
-as one document; an empty table gives an empty result. All columns are returned, whatever their names.
+as one document; of equal places in a table the first by id, then by place in the text, stays; texts are read whole,
+whatever their length; an empty table gives an empty result. All columns are returned, whatever their names.
 """
 
 from __future__ import annotations

@@ -56,6 +56,44 @@ def test_matrix_links_near_pairs_without_groups(spark, monkeypatch):
     assert sorted(map(tuple, found.collect())) == expected
 
 
+def test_unlike_texts_under_one_id(spark):
+    """Rows (1, A), (1, B), (2, A'), (3, B'): both texts of row 1 link to their own near copies."""
+    rng = plain.rng(31)
+    rows = []
+    for k in range(0, 60, 10):
+        (a, a_), (b, b_) = (plain.near_copies(rng, 2, 120, 2, BIG) for _ in range(2))
+        rows += [(k + 1, a), (k + 1, b), (k + 2, a_), (k + 3, b_), (k + 4, plain.prose(rng, 100, BIG))]
+    found = jaccard_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert sorted(map(tuple, found.collect())) == sorted(plain.classes(rows))
+
+
+def test_sets_of_columns_equal_those_of_texts(spark):
+    import pyarrow as pa
+    texts = [t for _, t in plain.ODD_ROWS] + ["a b c d", "A a\x0bb\tc  d e e e e e e", "x\x1cy z", ""]
+    hashes = WordHashes()
+    for found, text in zip(jaccard_join.token_sets(pa.array(texts)), texts, strict=True):
+        assert (found == jaccard_join.shingles(text, hashes)).all() and len(found) == len(plain.shingle_set(text))
+
+
+def test_large_crowds_open_in_rounds(spark, monkeypatch):
+    """Groups of two of a crowd that blocks alone leave apart come together without opening every pair."""
+    monkeypatch.setattr(jaccard_join, "GROUP", 2)
+    monkeypatch.setattr(jaccard_join, "ORDERS", 1)
+    opened = spark.sparkContext.accumulator(0)
+    real = jaccard_join._opened
+
+    def counted(turn, *rest):
+        opened.add(turn.count())
+        return real(turn, *rest)
+
+    monkeypatch.setattr(jaccard_join, "_opened", counted)
+    rng = plain.rng(17)
+    rows = list(enumerate(plain.near_copies(rng, 300, 400, 8, BIG)))
+    found = jaccard_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert sorted(map(tuple, found.collect())) == sorted(plain.classes(rows))
+    assert 0 < opened.value < 10 * len(rows)
+
+
 def test_join_on_odd_rows(spark):
     rows = [*plain.ODD_ROWS, (30, "A b C d e f"), (29, "a B c D E F"), (31, "a b c d e f g"), (32, "Ä b c d e f")]
     docs = plain.odd_docs(spark, rows)

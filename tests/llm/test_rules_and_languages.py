@@ -77,3 +77,8 @@ def test_language_scores_match_plain_sums():
         best = int(sums.argmax())
         assert lang == model.languages[best]
         assert score == pytest.approx(1 / (1 + language_id.np.exp(sums.min() - sums.max())))
+
+
+def test_signs_of_number_are_no_letters():
+    assert all(len(language_id.ngram_buckets(t)) == 0 for t in ("½ ² ⅷ", "⅓", "12 _ ٣", "①"))
+    assert (language_id.ngram_buckets("ab½cd") == language_id.ngram_buckets("ab cd")).all()
