@@ -1,4 +1,10 @@
-"""A training corpus from raw documents: filter, deduplicate, decontaminate and mix, one operator a stage."""
+"""A training corpus from raw documents: filter, deduplicate, decontaminate and mix, one operator a stage.
+
+Defined cases. A null or empty text has no words, so the first stage rejects its row. Rows that say the same, also twice
+under one id, are one group in the second stage, whose first row stays; a row without an id is as good as any. A text
+that the third stage empties stays as an empty one. Texts are read whole, whatever their length. A table without rows
+gives none. All columns of the documents, whatever their names, reach the last stage, which returns the mix.
+"""
 
 from __future__ import annotations
 

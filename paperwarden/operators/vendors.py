@@ -115,10 +115,10 @@ def _bounded(pairs: DataFrame, longest: int) -> DataFrame:
     la, lb = F.length("lower_name"), F.length("known_lower")
     total = la + lb
     pairs = pairs.where(2 * F.least(la, lb) >= F.col("need") * total - _ROUNDING)
-    pairs = pairs.select("vendor_name", "lower_name", "need", "known_vendor", "known_lower").distinct()
     edits = F.levenshtein("lower_name", "known_lower", longest)
     pairs = pairs.withColumn("edits", edits).where(
         (F.col("edits") >= 0) & (1.0 - F.col("edits") / total >= F.col("need") - _ROUNDING))
+    pairs = pairs.select("vendor_name", "lower_name", "need", "known_vendor", "known_lower", "edits").distinct()
     # A letter replaced by another is one edit, but neither of the two is matched.
     bound = F.least(1.0 - F.col("edits") / total, 2.0 * _common_letters(F.col("lower_name"), F.col("known_lower")) / total)
     return pairs.withColumn("bound", bound).where(F.col("bound") >= F.col("need") - _ROUNDING).drop("edits", "need")
