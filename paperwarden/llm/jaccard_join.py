@@ -12,7 +12,8 @@ A document's set holds the hashes of its distinct runs of ``SHINGLE`` words. Two
    range-partitioned order and are cut into blocks, in ``ORDERS`` different orders. All pairs inside a block are
    verified at once, and linked documents of a block of the first order are a group. This joins nearly all that
    belongs together, at a cost linear in the size of any crowd of copies.
-4. The token-group matrix holds, for each group, the union of its members' pool tokens that stand in several
+4. Documents stay that have four fifths of their whole sets in other components' documents. The token-group matrix
+   holds, for each group, the union of its members' pool tokens that stand in several
    components. A document with c such tokens asks by its c - k rarest ones only, as one of them must be shared. The
    groups it meets are held to the bound of step 2 with all of their union, and to the sizes of their members.
 5. Groups that pass are opened: the document is checked against the union of their whole sets, then against each
@@ -259,12 +260,16 @@ def _open_group(table: pa.Table) -> pa.Table:
 
 def _groups(reps: DataFrame, sets: DataFrame, work: Workspace) -> DataFrame:
     """Links (r, id, leader) found inside blocks of similar documents."""
-    orders = F.explode(F.array(*[F.struct(F.lit(r).cast("long").alias("r"), F.col(f"least_{r}").alias("hashed"))
-                                 for r in range(ORDERS)]))
-    by = ["r", "hashed", "n", "id"]
-    rows = reps.select(orders.alias("o"), "n", "id").select("o.r", "o.hashed", "n", "id")
-    members = work.table(rows.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(
-        _blocks, "r bigint, block bigint, id bigint"))
+    # The first order keeps sizes together. The others deal the documents of like size anew, so that the blocks of a
+    # large crowd overlap at random and connect it.
+    size_class = F.floor(F.log("n") * 8)
+    orders = F.explode(F.array(*[F.struct(
+        F.lit(r).cast("long").alias("r"), F.col(f"least_{r}").alias("hashed"), (size_class if r else F.col("n")).alias("like"),
+        (F.xxhash64("id", F.lit(r)) if r else F.col("id")).alias("dealt")) for r in range(ORDERS)]))
+    by = ["r", "hashed", "like", "dealt"]
+    rows = reps.select(orders.alias("o"), "n", "id").select("o.r", "o.hashed", "o.like", "o.dealt", "n", "id")
+    ordered = rows.repartitionByRange(*by).sortWithinPartitions(*by).select("r", "hashed", "n", "id")
+    members = work.table(ordered.mapInArrow(_blocks, "r bigint, block bigint, id bigint"))
     read = sets.join(members, "id").select("r", "block", "id", "tokens")
     links = work.table(read.groupBy("r", "block").applyInArrow(_link_block, "r bigint, id bigint, leader bigint"))
     work.drop(members)
@@ -318,6 +323,18 @@ def _crossing(matrix: DataFrame, info: DataFrame, work: Workspace) -> tuple[Data
         named.written_to = kept.written_to
 
 
+def _mostly_shared(enough: DataFrame, sets: DataFrame, info: DataFrame, work: Workspace) -> DataFrame:
+    """The documents (id, c) of ``enough`` whose whole sets have what a link needs in other components' sets."""
+    rows = work.table(sets.join(broadcast_if_small(enough.select("id")), "id", "left_semi").select(
+        "id", F.explode("tokens").alias("token")).join(info.select("id", "class_id"), "id"))
+    tokens = rows.groupBy("token").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low < high")
+    counts = rows.join(work.table(tokens.select("token")), "token").groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
+    wanted = counts.join(info.select("id", "n"), "id").where(100 * F.col("shared") >= PERCENT * F.col("n")).select("id")
+    found = work.table(enough.join(wanted, "id"))
+    work.drop(rows)
+    return found
+
+
 def _candidates(info: DataFrame, crossing: DataFrame, enough: DataFrame, work: Workspace) -> DataFrame:
     """(id, unit_a, class_a, unit_b, class_b, place): documents and the groups of other components that their bound
     lets through, numbered from 1 for each asking group, the most promising first."""
@@ -412,6 +429,7 @@ def _row_classes(docs: DataFrame, id_col: str, text_col: str, work: Workspace) -
         F.coalesce("unit", "id").alias("unit")))
     crossing, enough = _crossing(matrix, info, work)
     work.drop(matrix)
+    enough = _mostly_shared(enough, sets, info, work)
     candidates = _candidates(info, crossing, enough, work)
     merged = _links_across(candidates, info, sets, work)
     work.drop(crossing, sets, candidates)
