@@ -176,6 +176,13 @@ def doc_features(spark, sf_dir):
     return found.select("doc_id", *[F.round(f"features.{n}", ROUNDED).alias(n) for n in FEATURE_NAMES])
 
 
+def feature_vectors(spark, sf_dir):
+    fields = extract.extract_fields(_new_invoices(spark, sf_dir)).drop("raw_text")
+    found = features.add_features(fields, _baseline(spark, sf_dir))
+    return found.select("doc_id", F.posexplode(features.feature_vector()).alias("place", "value")).withColumn(
+        "value", F.round("value", ROUNDED))
+
+
 def _history_features(spark, sf_dir):
     return features.history_features(tables.history(spark, sf_dir), _baseline(spark, sf_dir))
 
@@ -394,7 +401,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clean_money": clean_money, "text_sources": text_sources, "rejects": rejected_paths, "history_csv": history_csv, "history_rejects": history_rejects,
         "vendor_profiles": vendor_profiles, "merged_profiles": merged_profiles,
         "global_profile": global_profile, "known_keys": known_keys,
-        "doc_features": doc_features, "history_features": history_features, "scaler_stats": scaler_stats,
+        "doc_features": doc_features, "feature_vectors": feature_vectors, "history_features": history_features, "scaler_stats": scaler_stats,
         "feature_medians": feature_medians,
         "rule_missing": _rule(rules.missing_rule),
         "rule_date_format": _rule(lambda: rules.date_rules(tables.REFERENCE_DATE)[:2]),

@@ -497,6 +497,10 @@ def oracle_sql() -> dict[str, str]:
           AS reason FROM told"""
     sql["report_batches"] = f"""WITH {CHECKED} SELECT doc_id, risk_level,
         CAST(split_part(doc_id, '-', 2)::BIGINT % 2 AS INT) AS batch FROM risks"""
+    values = ", ".join(
+        "round(coalesce(zscore, 0.0), 6)" if n == "amount_zscore_vs_vendor" else f"round({n}, 6)" for n in fv.FEATURE_NAMES)
+    sql["feature_vectors"] = f"""WITH {DOC_FEATURES} SELECT doc_id, unnest(range({len(fv.FEATURE_NAMES)}))::INT AS place,
+        unnest([{values}]) AS value FROM features"""
     sql["fixed_report"] = _fixed_report()
     sql["merged_profiles"] = sql["vendor_profiles"]
     for name in ("missing", "date_format", "date_logic", "arithmetic", "round", "conflict"):

@@ -11,14 +11,14 @@ from .operators.neardup import find_near_duplicates, partner_summary, partners_o
 from .operators.reasons import by_risk, detection_table, summary_lines
 from .operators.scale import temporary_workspace
 from .plans.pipeline import DocumentModel, fit
-from .sources.documents import read_documents, read_rejects
+from .sources.documents import documents_of, read_documents, read_folder, read_rejects
 from .sources.history import read_history, read_history_checked, read_labels, read_labels_checked
 from .sources.reports import read_batches, write_batch, write_report
 from .streaming.scoring import score_stream
 
 __all__ = [
-    "DocumentModel", "by_risk", "detection_table", "extract_fields", "find_near_duplicates", "fit", "fit_baseline",
-    "fit_forest", "partner_summary", "partners_of", "read_batches", "read_documents", "read_history",
+    "DocumentModel", "by_risk", "detection_table", "documents_of", "extract_fields", "find_near_duplicates", "fit", "fit_baseline",
+    "fit_forest", "partner_summary", "partners_of", "read_batches", "read_documents", "read_folder", "read_history",
     "read_history_checked", "read_labels", "read_labels_checked", "read_rejects", "score_stream", "summary_lines",
     "temporary_workspace", "write_batch", "write_report",
 ]

@@ -7,7 +7,7 @@ import math
 
 import numpy as np
 
-EULER_GAMMA = 0.5772156649015329  # fixed value
+from .fixed_values import EULER_GAMMA
 
 
 def matching_ratio(name: str, known: str) -> float:

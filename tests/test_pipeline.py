@@ -195,7 +195,9 @@ def test_merged_baseline_is_that_of_the_whole_history(spark):
     assert found.keys() == expected.keys() == {"Ash", "Beech", "Cedar", "Alone", "Same"}
     for name, row in expected.items():
         assert tuple(found[name])[3:] == tuple(row)[3:]
-        assert tuple(found[name])[1:3] == pytest.approx(tuple(row)[1:3], rel=1e-9)
+        assert found[name].amount_mean == pytest.approx(row.amount_mean, rel=1e-9)
+        assert (found[name].amount_std is None) == (row.amount_std is None)
+        assert found[name].amount_std == pytest.approx(row.amount_std, rel=1e-9) if row.amount_std else name == "Alone"
     values = [r[8] for r in rows if r[1] == "Ash" and r[8] is not None]
     assert expected["Ash"].amount_std == pytest.approx(statistics.stdev(values), rel=1e-9)
     assert expected["Same"].amount_std == 1e-6 and expected["Alone"].amount_std is None
@@ -288,3 +290,22 @@ def test_checks_reach_across_micro_batches(spark, model, tmp_path):
     again = spark.createDataFrame(list(second.items()), "doc_id string, raw_text string")
     index.add(1, again, pw.extract_fields(again))
     assert sorted(neardup.partner_summary(index.near_duplicates(1, "string")).collect()) == sorted(expected)
+
+
+def test_one_scan_of_a_folder(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, data in {"a.txt": b"x\r\ny", "B.TXT": b"caf\xc3\xa9 \xff!", "c.pdf": b"%PDF", "e.doc": b"2", "noext": b"3"}.items():
+        (tmp_path / "in" / name).write_bytes(data)
+    files = pw.read_folder(spark, str(tmp_path / "in"))
+    texts = {"a.txt": "x\ny", "B.TXT": "café !"}
+    reasons = {"c.pdf": "needs text recognition", "e.doc": "Unsupported file type: .doc", "noext": "Unsupported file type: "}
+    assert {r.doc_id: r.raw_text for r in pw.documents_of(files).collect()} == texts
+    assert {r.doc_id: r.reason for r in files.where("reason is not null").collect()} == reasons
+    query = pw.read_folder(spark, str(tmp_path / "in"), stream=True).writeStream.format("memory").queryName(
+        "arrived").trigger(availableNow=True).start()
+    query.awaitTermination(60)
+    arrived = spark.table("arrived")
+    assert {r.doc_id: r.raw_text for r in pw.documents_of(arrived).collect()} == texts
+    assert arrived.where("reason is not null").count() == 3
+    plain = {(r.path.rsplit("/", 1)[1], r.reason) for r in pw.read_rejects(spark, str(tmp_path / "in")).collect()}
+    assert plain == set(reasons.items())
