@@ -102,3 +102,30 @@ def test_no_known_vendors(spark):
     empty = spark.createDataFrame([], "vendor_name string")
     asked = spark.createDataFrame([("Brin",)], "vendor_name string")
     assert vendors.closest_vendors(asked, empty).count() == 0
+
+
+def test_names_alike_at_both_ends_meet_few_vendors(spark, monkeypatch):
+    """Names that begin alike, end alike and differ in few places are not compared with every vendor."""
+    known = [f"Trader#{k:06d} Ltd" for k in range(600)]
+    unknown = [f"Trader#{k:06d}x Ltd" for k in range(0, 600, 2)] + [f"Trder#{k:06d} Ltd" for k in range(0, 600, 2)]
+    compared = spark.sparkContext.accumulator(0)
+    bounded = vendors._bounded
+
+    def counted(pairs, longest):
+        compared.add(pairs.count())
+        return bounded(pairs, longest)
+
+    monkeypatch.setattr(vendors, "_bounded", counted)
+    rows = vendors.closest_vendors(spark.createDataFrame([(n,) for n in unknown], "vendor_name string"),
+                                   spark.createDataFrame([(n,) for n in known], "vendor_name string")).collect()
+    assert {r.vendor_name: (r.closest_vendor, r.vendor_similarity) for r in rows} == brute_force(unknown, known, 0.8)
+    assert compared.value <= 0.1 * len(unknown) * len(known)
+
+
+def test_edits_of_short_and_long_names(spark):
+    known = ["a", "bc", "ef g", "Abc", "x" * 46, "q" * 30 + "r" * 20, "m" * 60 + "n" * 9, "long name " * 5, "kk", "k k k k"]
+    unknown = ["A", "b", "bcd", "efg", "abcd", "x" * 44, "x" * 48, "x" * 49, "q" * 30 + "r" * 18, "m" * 60 + "n" * 7, "zz",
+               "long name " * 4 + "long nam", "kkk k", "y" * 3000]
+    rows = vendors.closest_vendors(spark.createDataFrame([(n,) for n in unknown], "vendor_name string"),
+                                   spark.createDataFrame([(n,) for n in known], "vendor_name string")).collect()
+    assert {r.vendor_name: (r.closest_vendor, r.vendor_similarity) for r in rows} == brute_force(unknown, known, 0.8)
