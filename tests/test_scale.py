@@ -1,4 +1,5 @@
 import os
+import re
 from types import SimpleNamespace
 
 import pytest
@@ -56,3 +57,36 @@ def test_replacement_signs_of_the_text_stay(spark):
                                 "id int, raw binary")
     found = raw.select("id", normalise_text(F.col("raw").cast("string")).alias("text")).collect()
     assert {r.id: r.text for r in found} == {1: "a\ufffdb\nc", 2: "a\ufffdbc\nd"}
+
+
+def _exchanges(df, capsys):
+    capsys.readouterr()
+    df.explain("formatted")
+    found = capsys.readouterr().out.split("\n\n")
+    return [part for part in found if re.match(r"\(\d+\) Exchange", part.strip())]
+
+
+def _without_broadcasts(spark, tmp_path):
+    """A folder of small tables of its own, with joins as they are on large ones."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    day = "timestamp'2001-02-03 00:00:00'"
+    for name, sql in {
+            "lineitem": "select id l_orderkey, id % 3 l_suppkey, id l_partkey, 2.0d l_quantity, 10.0d l_extendedprice, "
+                        "0.1d l_discount, 0.05d l_tax from range(20)",
+            "orders": f"select id o_orderkey, {day} - make_interval(0, 0, 0, 20 * int(id)) o_orderdate from range(20)",
+            "supplier": "select id s_suppkey, concat('Maker ', id) s_name from range(3)",
+            "documents": "select id doc_id, concat('green apple tree ', id) text from range(6)"}.items():
+        spark.sql(sql).write.parquet(str(tmp_path / f"{name}.parquet"))
+    return before
+
+
+def test_goods_are_not_shuffled(spark, tmp_path, capsys):
+    from fixtures import invoice_tables
+    before = _without_broadcasts(spark, tmp_path)
+    try:
+        docs = invoice_tables.all_documents(spark, str(tmp_path))
+        assert not [part for part in _exchanges(docs, capsys) if "goods" in part or "collect_list" in part or "buf" in part]
+        assert docs.count() == 20 and invoice_tables.history(spark, str(tmp_path)).count() == 18
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
