@@ -14,8 +14,10 @@ A document's set holds the hashes of its distinct runs of ``SHINGLE`` words. Two
    belongs together, at a cost linear in the size of any crowd of copies.
 4. Documents stay that have four fifths of their whole sets in other components' documents. The token-group matrix
    holds, for each group, the union of its members' pool tokens that stand in several
-   components. A document with c such tokens asks by its c - k rarest ones only, as one of them must be shared. The
-   groups it meets are held to the bound of step 2 with all of their union, and to the sizes of their members.
+   components. A document with c such tokens asks by its c - k rarest ones only, as one of them must be shared, and a
+   group is met by the rarest ones of its members only, for the same reason: at the first token that both have, either
+   side must have k others left. How many follows from both sizes. They meet at the first such token, not at each. The
+   groups met are held to the bound of step 2 with all of their union.
 5. Groups that pass are opened: the document is checked against the union of their whole sets, then against each
    member. Every group opens the most promising ones first, in rounds of 1, 2, 4, ...; what a round connects is one
    component in the next, whose inner pairs need no opening. So a crowd of many groups is never opened pair by pair.
@@ -51,6 +53,8 @@ ORDERS = 3
 HOT_CLASSES = 24
 #: Sets of so many tokens have all of them in their pool.
 KEPT_WHOLE = 192
+#: Rarest tokens by which a document and a group know that they have met at an earlier token.
+FIRST = 16
 #: Documents that ask a group at a time.
 ASKING = 128
 #: Ids from here on stand for rows without one.
@@ -104,6 +108,12 @@ def _least_need(n: int) -> int:
     return int(_need(np.arange(_least_shared(n), 100 * n // PERCENT + 1)).min())
 
 
+def _wanted(n: Column, need: Column, least_n: Column) -> Column:
+    """``need`` of a set of n, if its partner has ``least_n`` tokens or more: what two sets must share grows with both."""
+    shared = F.floor((PERCENT * (n + least_n) + 99 + PERCENT) / (100 + PERCENT))
+    return need + F.greatest(shared - F.floor((PERCENT * n + 99) / 100), F.lit(0))
+
+
 def token_sets(texts: pa.Array) -> list[np.ndarray]:
     """``shingles`` of all texts of a column."""
     split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
@@ -338,24 +348,45 @@ def _mostly_shared(enough: DataFrame, sets: DataFrame, info: DataFrame, work: Wo
 def _candidates(info: DataFrame, crossing: DataFrame, enough: DataFrame, work: Workspace) -> DataFrame:
     """(id, unit_a, class_a, unit_b, class_b, place): documents and the groups of other components that their bound
     lets through, numbered from 1 for each asking group, the most promising first."""
-    known = info.select("id", "unit", "n", "need", "end").join(enough, "id")
-    rows = work.table(crossing.join(known, "id"))
-    by_rarity = Window.partitionBy("id").orderBy("classes", "token")  # no more rows than a pool has tokens
-    asked = rows.withColumn("rarity", F.row_number().over(by_rarity)).where(F.col("rarity") <= F.col("c") - F.col("need") + 1)
-    groups = work.table(rows.groupBy("token", "unit", "class_id").agg(
-        F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.max("end").alias("last_end")))
-    a = asked.select("token", "id", F.col("unit").alias("unit_a"), F.col("class_id").alias("class_a"), "n", "need", "end")
-    b = groups.select("token", F.col("unit").alias("unit_b"), F.col("class_id").alias("class_b"), "least_n", "most_n", "last_end")
+    known = info.select("id", "unit", "class_id", "n", "need", "least_need", "end").join(enough.select("id"), "id")
+    # Tokens in order of rarity; no more of them than a pool has.
+    own = crossing.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("classes", "token"))).alias("own"))
+    docs = work.table(known.join(own, "id"))
+
+    def rarest(need: str) -> Column:
+        return F.posexplode(F.slice("own", F.lit(1), F.greatest(F.size("own") - F.col(need) + 1, F.lit(0)).cast("int")))
+
+    left = (F.size("own") - F.col("place")).alias("left")
+    asked = docs.select("*", rarest("need").alias("place", "key")).select(
+        "key.token", "id", F.col("unit").alias("unit_a"), F.col("class_id").alias("class_a"), "n", "need", "end", left,
+        F.slice(F.col("own")["token"], F.lit(1), F.least(F.col("place"), F.lit(FIRST))).alias("before"))
+    held = docs.select("unit", "own", rarest("least_need").alias("place", "key")).select("unit", "key", left).groupBy(
+        "unit", "key").agg(F.max("left").alias("left"))
+    # Of what a token leaves behind it in a group, no less than of any later token, so that a pair that may meet at a
+    # token may meet at every earlier one that both have.
+    later = Window.partitionBy("unit").orderBy(F.desc("key.classes"), F.desc("key.token")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    held = work.table(held.withColumn("left", F.max("left").over(later)))
+    units = docs.groupBy("unit").agg(F.min("class_id").alias("class_b"), F.min("n").alias("least_n"),
+                                     F.max("n").alias("most_n"), F.max("end").alias("last_end"))
+    firsts = held.groupBy("unit").agg(F.slice(F.array_sort(F.collect_list("key")), 1, FIRST).alias("first"))
+    groups = held.join(units.join(firsts, "unit"), "unit").select(
+        "key.token", F.col("unit").alias("unit_b"), "class_b", "least_n", "most_n", "last_end", F.col("left").alias("left_b"),
+        F.filter("first", lambda k: k < F.col("key"))["token"].alias("before_b"))
     fit = (100 * F.col("most_n") >= PERCENT * F.col("n")) & (PERCENT * F.col("least_n") <= 100 * F.col("n"))
-    met = work.table(a.join(b, "token").where((F.col("class_a") != F.col("class_b")) & (F.col("end") <= F.col("last_end")) & fit)
-                     .select("id", "unit_a", "class_a", "unit_b", "class_b", "need").distinct())
-    own = rows.groupBy("id").agg(F.collect_list("token").alias("own"))
-    unions = groups.groupBy(F.col("unit").alias("unit_b")).agg(F.collect_set("token").alias("held"))
-    bounded = met.join(own, "id").join(unions, "unit_b").withColumn("shared", F.size(F.array_intersect("own", "held")))
+    req = _wanted(F.col("n"), F.col("need"), F.col("least_n"))
+    meet = ((F.col("class_a") != F.col("class_b")) & (F.col("end") <= F.col("last_end")) & fit & (F.col("left") >= req)
+            & (F.col("left_b") >= req) & ~F.arrays_overlap("before", "before_b"))
+    met = work.table(asked.join(groups, "token").where(meet).select(
+        "id", "unit_a", "class_a", "unit_b", "class_b", req.alias("req")).distinct())
+    unions = docs.select(F.col("unit").alias("unit_b"), F.explode(F.col("own")["token"]).alias("token")).groupBy("unit_b").agg(
+        F.collect_set("token").alias("held"))
+    bounded = met.join(docs.select("id", F.col("own")["token"].alias("own")), "id").join(unions, "unit_b").withColumn(
+        "shared", F.size(F.array_intersect("own", "held")))
     best = Window.partitionBy("unit_a").orderBy(F.desc("shared"), "unit_b", "id")
-    found = work.table(bounded.where("shared >= need").withColumn("place", F.row_number().over(best)).select(
+    found = work.table(bounded.where("shared >= req").withColumn("place", F.row_number().over(best)).select(
         "id", "unit_a", "class_a", "unit_b", "class_b", "place"))
-    work.drop(rows, groups, met)
+    work.drop(docs, held, met)
     return found
 
 

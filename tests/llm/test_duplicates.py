@@ -94,6 +94,30 @@ def test_large_crowds_open_in_rounds(spark, monkeypatch):
     assert 0 < opened.value < 10 * len(rows)
 
 
+def test_a_crowd_below_the_limit_gives_no_candidates(spark, monkeypatch):
+    """Texts of one template that share 85 of 100 shingles, which links unlike sizes only, and a few that are linked."""
+    rng = plain.rng(17)
+    base = plain.prose(rng, 200, BIG).split()
+    rows = []
+    for i in range(40):
+        words = list(base)
+        for k, place in enumerate(rng.sample(range(5, 195, 6), 3)):
+            words[place] = f"own{i}x{k}"
+        rows.append((i, " ".join(words)))
+    rows += [(100 + i, text.replace(f"own{i}x0", "other")) for i, text in rows[:3]]
+    counts, make = [], jaccard_join._candidates
+
+    def counted(*args):
+        found = make(*args)
+        counts.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard_join, "_candidates", counted)
+    found = jaccard_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(tuple, found.collect())) == sorted(plain.classes(rows))
+    assert counts[0] < 150  # of 903 pairs
+
+
 def test_join_on_odd_rows(spark):
     rows = [*plain.ODD_ROWS, (30, "A b C d e f"), (29, "a B c D E F"), (31, "a b c d e f g"), (32, "Ä b c d e f")]
     docs = plain.odd_docs(spark, rows)
@@ -212,6 +236,18 @@ def test_spans_on_odd_rows(spark):
     assert sentence_spans.remove_repeats(plain.odd_docs(spark, [])).count() == 0
 
 
+def test_ascii_words_are_read_without_a_pattern(monkeypatch):
+    text = "One_2  two's\tTHREE-four, five\x1csix: " + " ".join(f"W{i % 37}-x{i}" for i in range(60)) + "!? ...\n\nEnd"
+    expected = [(a, b, sentence_spans._WORD_PLAIN.findall(text[a:b].lower())) for a, b, _ in sentence_spans.sentences(text)]
+
+    class Places:
+        finditer = sentence_spans._WORD_PLAIN.finditer
+
+    monkeypatch.setattr(sentence_spans, "_WORD_PLAIN", Places)
+    found = sentence_spans.sentences(text)
+    assert found == expected and "".join(text[a:b] for a, b, _ in found) == text
+
+
 def test_sentences_join_to_the_text():
     for _, text in plain.ODD_ROWS:
         if text is not None:
