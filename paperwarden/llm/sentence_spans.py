@@ -40,7 +40,7 @@ WINDOW = 11
 #: Commas of clauses; those of other scripts end a clause without white space behind them.
 _COMMAS = ",;:，、；：､،؛፣፥"
 #: The end of a sentence, or of a clause unless it holds a line break.
-_END_PLAIN = re.compile(r"[.!?]+\s+|\n\s*|[,;:]\s+")
+_END_PLAIN = re.compile(r"[.!?\n,;:](?:(?<=[.!?])[.!?]*\s+|(?<=\n)\s*|(?<=[,;:])\s+)")  # one set to search for, then which
 _STOPS = "。！？｡．।॥؟۔።፧։။។៕"
 _END = re.compile(rf"[.!?]+\s+|[{_STOPS}]+\s*|\n\s*|[,;:]\s+|[{_COMMAS[3:]}]\s*")
 #: Thai, Lao, Myanmar, Khmer, kana and Chinese characters: scripts without spaces between words.
@@ -49,7 +49,10 @@ _UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u
 #: Texts without any of these characters are read the same by the plain patterns, which are faster.
 _OTHER = re.compile(f"[{_STOPS}{_COMMAS[3:]}{_UNSPACED}]")
 _WORD_PLAIN = re.compile(r"\w+")
+#: Words of ASCII texts are what ``split`` leaves when all other characters are spaces.
+_ASCII = bytes(ord(chr(c).lower()) if c < 128 and (chr(c).isalnum() or c == 95) else 32 for c in range(256))
 _WORD = re.compile(rf"(?=\w)[{_UNSPACED}]|[^\W{_UNSPACED}]+")
+_BACKWARDS = np.arange(WINDOW)
 _STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 1 << 64)
 
@@ -57,8 +60,8 @@ _BACK = pow(_STEP, -1, 1 << 64)
 def _cuts(words: list[str]) -> np.ndarray:
     """The words of a long clause that begin a part: the last least hash of every window of words."""
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    windows = np.lib.stride_tricks.sliding_window_view(hashes, WINDOW)
-    least = np.unique(np.arange(len(windows)) + WINDOW - 1 - windows[:, ::-1].argmin(axis=1))
+    last = np.arange(WINDOW - 1, len(words))
+    least = np.unique(last - hashes[last[:, None] - _BACKWARDS].argmin(axis=1))
     return least[least > 0]
 
 
@@ -69,19 +72,38 @@ def sentences(text: str) -> list[tuple[int, int, list[str]]]:
     last = n_words = 0
     plain = text.isascii() or not _OTHER.search(text)
     end_of, word_of = (_END_PLAIN, _WORD_PLAIN) if plain else (_END, _WORD)
+    ascii_text, lower = text.isascii(), text.lower()
+    if ascii_text:
+        spaced = text.encode().translate(_ASCII).decode()
+
+        def words_of(a: int, b: int) -> list[str]:
+            return spaced[a:b].split()
+    elif plain and len(lower) == len(text):
+        def words_of(a: int, b: int) -> list[str]:
+            return word_of.findall(lower, a, b)
+    else:
+        def words_of(a: int, b: int) -> list[str]:
+            return word_of.findall(text[a:b].lower())
 
     def close() -> None:
-        if n_words <= CLAUSE_WORDS:
+        if len(clauses) == 1 and n_words <= LONG_WORDS:
+            parts = clauses
+        elif n_words <= CLAUSE_WORDS:
             parts = [(clauses[0][0], clauses[-1][1], [w for _, _, words in clauses for w in words])]
         else:
             parts = []
             for a, b, words in clauses:
                 if len(words) <= LONG_WORDS:
                     parts.append((a, b, words))
+                elif ascii_text:
+                    starts = [m.start() for m in word_of.finditer(text, a, b)]
+                    cuts = [0, *_cuts(words).tolist(), len(words)]
+                    places = [a, *[starts[i] for i in cuts[1:-1]], b]
+                    parts += [(places[i], places[i + 1], words[cuts[i]:cuts[i + 1]]) for i in range(len(cuts) - 1)]
                 else:
                     found_at = list(word_of.finditer(text, a, b))
                     cuts = [a, *[found_at[i].start() for i in _cuts([m[0].lower() for m in found_at])], b]
-                    parts += [(c, d, word_of.findall(text[c:d].lower())) for c, d in zip(cuts, cuts[1:])]
+                    parts += [(c, d, words_of(c, d)) for c, d in zip(cuts, cuts[1:])]
         for a, b, words in parts:
             if words or not found:
                 found.append((a, b, words))
@@ -90,7 +112,7 @@ def sentences(text: str) -> list[tuple[int, int, list[str]]]:
 
     for end in end_of.finditer(text):
         stop = end.end()
-        words = word_of.findall(text[last:stop].lower())
+        words = words_of(last, stop)
         clauses.append((last, stop, words))
         n_words += len(words)
         last = stop
@@ -98,7 +120,7 @@ def sentences(text: str) -> list[tuple[int, int, list[str]]]:
         if said[0] not in _COMMAS or "\n" in said:
             close()
             clauses, n_words = [], 0
-    words = word_of.findall(text[last:].lower())
+    words = words_of(last, len(text))
     clauses.append((last, len(text), words))
     n_words += len(words)
     close()
