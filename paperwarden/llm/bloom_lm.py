@@ -35,6 +35,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from paperwarden.llm.batches import release_memory
 from paperwarden.operators.scale import Workspace, workspace
 
 #: Bytes of text a slice, a bucket and a zone stand for, and the least numbers of slices and buckets.
@@ -187,7 +188,7 @@ def _send(layout: Layout, zones: range):
         starts = np.searchsorted(layout.buckets(keys, width), np.append(every, every[-1:] + 1))
         return slice(starts[0], starts[-1]), np.diff(starts)
 
-    def run(table: pa.Table) -> pa.Table:
+    def sent(table: pa.Table) -> pa.Table:
         trained = table.column("trained").to_numpy()
         tokens = tokenise(_texts(table), layout)
         pairs, pair_counts = counted_pairs(tokens, trained)
@@ -205,6 +206,11 @@ def _send(layout: Layout, zones: range):
                          "pair_counts": _binary(pair_counts.astype("<i4"), n_pairs * 4),
                          "word_counts": _binary(word_counts.astype("<i4"), n_words * 4)})
 
+    def run(table: pa.Table) -> pa.Table:
+        made = sent(table)
+        release_memory()  # what its arrays took; an idle worker would hold it
+        return made
+
     return run
 
 
@@ -363,6 +369,8 @@ def _answers(asked: DataFrame, zone: Zone, layout: Layout, work: Workspace) -> D
                 [batch.column(0), batch.column(1), _binary(held.levels(pairs | _PAIR_MARK, pair_at), n_pairs),
                  _binary(held.levels(words, word_at), n_words), _binary(held.counts(words).astype("<i8"), 8 * n_words)],
                 names=["slice", "bucket", "pairs", "words", "word_counts"])
+            del pairs, words, pair_at, word_at
+        release_memory()
 
     answers = work.table(asked.select("slice", "bucket", "pairs", "words").mapInArrow(run, ANSWERED))
     shared.destroy()
@@ -371,7 +379,7 @@ def _answers(asked: DataFrame, zone: Zone, layout: Layout, work: Workspace) -> D
 
 def _score(layout: Layout, id_col: str, total: int):
     """Scores of the documents of one slice from the answers to it; ``total`` is N + V + 1."""
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    def scored(docs: pa.Table, answers: pa.Table) -> pa.Table:
         answers, n = answers.sort_by("bucket"), docs.num_rows
         tokens = tokenise(_texts(docs), layout)
         order = np.argsort(tokens.pairs)
@@ -395,6 +403,11 @@ def _score(layout: Layout, id_col: str, total: int):
                          "n_known": np.bincount(tokens.document[(exact > 0)[tokens.word]], minlength=n),
                          "base_score": summed(base[tokens.word]), "score": summed(likely)})
 
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        made = scored(docs, answers)
+        release_memory()
+        return made
+
     return run
 
 

@@ -1,10 +1,12 @@
 import collections
+import gc
 import math
 import random
 import zlib
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,3 +129,13 @@ def test_keys_keep_their_bucket():
             assert (buckets == (hashes >> np.uint64(64 - layout.bucket_bits))).all()
             assert (layout.unpack(bloom_lm.pack(keys, width), buckets, width) == keys).all()
             assert (layout.zone(buckets) < layout.zones).all()
+
+
+def test_workers_give_memory_back(monkeypatch):
+    """After the n-grams of a slice are sent, none of the arrays they were made of is held."""
+    held = []
+    monkeypatch.setattr(bloom_lm, "release_memory", lambda: held.append(sum(isinstance(x, bloom_lm.Tokens) for x in gc.get_objects())))
+    texts = pa.array(["a b c", "b c d", ""])
+    table = pa.table({"slice": pa.array([0] * 3, pa.int64()), "trained": [True, False, True], "text": texts})
+    made = bloom_lm._send(bloom_lm.choose_layout(10), range(2))(table)
+    assert held == [0] and made.num_rows > 0
