@@ -90,3 +90,10 @@ def test_goods_are_not_shuffled(spark, tmp_path, capsys):
         assert docs.count() == 20 and invoice_tables.history(spark, str(tmp_path)).count() == 18
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_tables_beyond_the_limit_are_shuffled_however_small_their_files(spark, capsys):
+    table = scale.materialise(spark.range(1000).selectExpr("id AS key", "repeat('x', 500) AS text"))
+    for limit, join in ((1 << 20, "BroadcastHashJoin"), (1 << 19, "SortMergeJoin")):
+        spark.range(10_000).withColumnRenamed("id", "key").join(scale.broadcast_if_small(table, limit), "key", "left").explain()
+        assert join in capsys.readouterr().out

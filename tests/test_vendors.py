@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from paperwarden.operators import vendors
+from paperwarden.operators import scale, vendors
 
 
 def names(seed, count):
@@ -129,3 +129,13 @@ def test_edits_of_short_and_long_names(spark):
     rows = vendors.closest_vendors(spark.createDataFrame([(n,) for n in unknown], "vendor_name string"),
                                    spark.createDataFrame([(n,) for n in known], "vendor_name string")).collect()
     assert {r.vendor_name: (r.closest_vendor, r.vendor_similarity) for r in rows} == brute_force(unknown, known, 0.8)
+
+
+def test_keys_of_names_are_not_broadcast(spark, capsys):
+    """A name has a hundred keys and more, which would all be collected on the driver."""
+    known = scale.materialise(spark.createDataFrame([(n,) for n in names(5, 60)], "vendor_name string"))
+    asked = known.selectExpr("vendor_name", "lower(vendor_name) AS lower_name", "CAST(0.8 AS DOUBLE) AS need")
+    for gone in ([(0, 0), (0, 1), (1, 0), (1, 1)], [(0, 2)], [(2, 0)]):
+        vendors._near(asked, known, gone).explain()
+        plan = capsys.readouterr().out
+        assert "SortMergeJoin [key" in plan and "BroadcastHashJoin [key" not in plan
