@@ -97,3 +97,16 @@ def test_tables_beyond_the_limit_are_shuffled_however_small_their_files(spark, c
     for limit, join in ((1 << 20, "BroadcastHashJoin"), (1 << 19, "SortMergeJoin")):
         spark.range(10_000).withColumnRenamed("id", "key").join(scale.broadcast_if_small(table, limit), "key", "left").explain()
         assert join in capsys.readouterr().out
+
+
+def test_orders_are_not_broadcast_however_small_their_files(spark, tmp_path, capsys):
+    from fixtures import invoice_tables
+
+    spark.range(20).selectExpr("id AS o_orderkey", "TIMESTAMP '2000-05-01' AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(2).selectExpr("id AS s_suppkey", "concat('Shop ', id) AS s_name").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(40).selectExpr("id % 20 AS l_orderkey", "id AS l_partkey", "id % 2 AS l_suppkey", "2.0D AS l_quantity", "10.0D AS l_extendedprice",
+                               "0.0D AS l_discount", "0.1D AS l_tax").write.parquet(f"{tmp_path}/lineitem.parquet")
+    past = invoice_tables.history(spark, str(tmp_path))
+    past.explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin [l_orderkey" in plan and "BroadcastHashJoin [l_orderkey" not in plan and past.count() == 20
